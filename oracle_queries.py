@@ -452,7 +452,7 @@ FROM inv JOIN f USING (is_paid) GROUP BY is_paid, q1, q2, q3"""),
     "line_box_plot_outliers": f"""
 WITH t AS (
   SELECT l_orderkey * 10 + l_linenumber AS invoice_id,
-         CAST(l_linestatus = 'F' AS INTEGER) AS is_paid, l_extendedprice * l_extendedprice * l_extendedprice / 1000000000::DOUBLE AS total
+         CAST(l_linestatus = 'F' AS INTEGER) AS is_paid, exp(l_extendedprice / 15000) AS total
   FROM lineitem
 ),
 q AS (SELECT is_paid, quantile_cont(total, 0.25) AS q1, quantile_cont(total, 0.75) AS q3 FROM t GROUP BY 1)
