@@ -6,22 +6,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from arrears import contracts as K, deploy
 from arrears.functions import formats, numeric, smoothing
 from arrears.operators import series
 
-_FIT_TYPE = (
-    "alpha double, beta double, gamma double, phi double, level double, trend double, "
-    "sse double, season array<double>"
+_FIT_FIELDS = ["alpha", "beta", "gamma", "phi", "level", "trend", "sse"]
+_FIT_TYPE = T.StructType(
+    [T.StructField(name, T.DoubleType()) for name in _FIT_FIELDS]
+    + [T.StructField("season", T.ArrayType(T.DoubleType()))]
 )
 
 
 @F.pandas_udf(_FIT_TYPE)
 def _fit(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """Arrow batches of month arrays; series of one length are fitted together."""
-    names = ["alpha", "beta", "gamma", "phi", "level", "trend", "sse"]
+    names = _FIT_FIELDS
     for batch in batches:
         lengths = batch.map(len).to_numpy()
         out = pd.DataFrame(index=range(len(batch)), columns=names, dtype=float)
@@ -94,7 +95,7 @@ def point_forecast(h: int) -> Column:
     return F.col("level") + _damping(h) * F.col("trend") + season
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _noise_points(
     seed: pd.Series, alpha: pd.Series, beta: pd.Series, phi: pd.Series
 ) -> pd.Series:

@@ -6,6 +6,7 @@ ratios), so that two engines that add in a different order agree.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from arrears import contracts as K
 from arrears.functions import bands, dates, formats, numeric, text
-from arrears.operators import cleaning, quality, reports, scoring, series
+from arrears.operators import (
+    classifier, cleaning, evaluation, forecast, quality, reports, sampling, scoring, series, tfidf,
+)
 from arrears.sources import invoice_export as exports, order_tables as feed, staging, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -583,3 +586,134 @@ def cash_projection_by_client(spark, sf_dir):
 def cash_outlook(spark, sf_dir):
     out = series.cash_outlook(_by_category(spark, sf_dir), AS_OF)
     return rounded(out, 2, "amount", "low", "high")
+
+
+@query
+def forecast_fits(spark, sf_dir):
+    """Smoothing parameters and AIC per client."""
+    out = forecast.fit_series(_by_client(spark, sf_dir))
+    return out.select(
+        "series_key", "last_month", "n_months", "n_params", "alpha", "beta", "gamma", "phi", "sse", "aic"
+    )
+
+
+@query
+def cash_forecast(spark, sf_dir):
+    return forecast.forecast(series.monthly_series(_payments(spark, sf_dir)))
+
+
+@query
+def cash_forecast_by_client(spark, sf_dir):
+    return forecast.forecast(_by_client(spark, sf_dir))
+
+
+@query
+def cash_forecast_total(spark, sf_dir):
+    return forecast.horizon_total(forecast.forecast(_by_category(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# Texts
+# --------------------------------------------------------------------------
+
+
+@query
+def document_terms(spark, sf_dir):
+    return tfidf.document_terms(feed.table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query
+def term_weights(spark, sf_dir):
+    out = tfidf.term_weights(feed.table(spark, sf_dir, "documents"), "doc_id", "text")
+    return rounded(out, 6, "weight")
+
+
+@query
+def language_folds(spark, sf_dir):
+    docs = feed.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return sampling.stratified_folds(docs, "doc_id", "lang")
+
+
+@query
+def language_holdout(spark, sf_dir):
+    docs = feed.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return sampling.stratified_holdout(docs, "doc_id", "lang")
+
+
+@query
+def label_agreement_report(spark, sf_dir):
+    """Quality label against a rule on the text length."""
+    joined = feed.table(spark, sf_dir, "labels").join(
+        feed.table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id"
+    )
+    ruled = joined.select("quality", (F.col("n_chars") % 3).cast("int").alias("ruled"))
+    out = evaluation.classification_report(ruled, "quality", "ruled")
+    return rounded(out, 6, "precision", "recall", "f1")
+
+
+@query
+def label_agreement_by_fold(spark, sf_dir):
+    labels = feed.table(spark, sf_dir, "labels")
+    rows = sampling.stratified_folds(labels, "doc_id", "quality")
+    out = evaluation.accuracy_by_fold(rows, "fold", "quality", "toxic")
+    return rounded(out, 6, "accuracy", "mean_accuracy", "std_accuracy")
+
+
+def _labelled_concepts(spark, sf_dir):
+    """Distinct service concepts with their keyword category as the label."""
+    concepts = feed.service_concepts(spark, sf_dir).distinct()
+    return cleaning.keyword_categories(concepts, alias="label").withColumn("key", F.col("concept"))
+
+
+def _concept_model(spark, sf_dir):
+    slug = hashlib.md5(sf_dir.encode()).hexdigest()
+    path = f"{staging.shared_folder(spark)}/{spark.sparkContext.applicationId}/model-{slug}"
+    return classifier.load_or_train(
+        spark, path, lambda: classifier.train(_labelled_concepts(spark, sf_dir), "key", "concept", "label")
+    )
+
+
+def _predictions(spark, sf_dir):
+    rows = cleaning.for_classifier(feed.invoices(spark, sf_dir))
+    return classifier.predict(rows, "invoice_id", "concept", _concept_model(spark, sf_dir))
+
+
+@query
+def concept_training_set(spark, sf_dir):
+    rows = classifier.training_set(_labelled_concepts(spark, sf_dir), "key", "concept", "label")
+    return rows.select(text.normalize(F.col("text")).alias("text"), "label")
+
+
+@query
+def classified_invoices(spark, sf_dir):
+    return _predictions(spark, sf_dir).drop("best")
+
+
+@query
+def prediction_summary(spark, sf_dir):
+    out = classifier.prediction_summary(_predictions(spark, sf_dir))
+    return rounded(rounded(out, 2, "amount"), 4, "avg_confidence")
+
+
+@query
+def invoices_to_review(spark, sf_dir):
+    return classifier.review_list(_predictions(spark, sf_dir))
+
+
+@query
+def concept_cross_validation(spark, sf_dir):
+    """Five stratified folds over the labelled concepts."""
+    out = classifier.cross_validation(_labelled_concepts(spark, sf_dir), "key", "concept", "label")
+    return rounded(out, 6, "accuracy", "mean_accuracy", "std_accuracy")
+
+
+@query
+def concept_holdout_report(spark, sf_dir):
+    out = classifier.holdout_report(_labelled_concepts(spark, sf_dir), "key", "concept", "label")
+    return rounded(out, 6, "precision", "recall", "f1")
+
+
+@query
+def language_holdout_report(spark, sf_dir):
+    out = classifier.holdout_report(feed.table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    return rounded(out, 6, "precision", "recall", "f1")

@@ -38,6 +38,11 @@ def _service_concept() -> Column:
     return F.concat(phrase, F.lit(" "), F.col("p_name"), F.lit(", "), F.col("p_brand"))
 
 
+def service_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The concept text of every part."""
+    return table(spark, sf_dir, "part").select(_service_concept().alias("concept"))
+
+
 def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The export as it arrives, with its original headers.
 

@@ -252,6 +252,28 @@ SELECT position, page, n_pages, n_rows, invoice_id, client, invoice_date, concep
 FROM chosen WHERE position > page * 15 AND position <= (page + 1) * 15""")
 
 
+NORMAL = """trim(regexp_replace(strip_accents(upper(replace({0}, 'ß', 'ss'))), '[^A-Z0-9]+', ' ', 'g'))"""
+
+TERMS = f"""
+tok AS (
+  SELECT doc_id, regexp_extract_all({NORMAL.format("text")}, '[A-Z0-9]+') AS t FROM documents
+),
+occ AS (
+  SELECT doc_id, unnest(t) AS term FROM tok
+  UNION ALL
+  SELECT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM tok
+),
+terms AS (SELECT doc_id, term, count(*) AS tf FROM occ GROUP BY doc_id, term)"""
+
+
+def ranked(table: str, key: str, label: str) -> str:
+    return (
+        f"ranked AS (SELECT *, row_number() OVER (PARTITION BY {label} "
+        f"ORDER BY md5('42/' || CAST({key} AS VARCHAR)), {key}) - 1 AS class_rank, "
+        f"count(*) OVER (PARTITION BY {label}) AS class_size FROM {table})"
+    )
+
+
 ORACLES: dict[str, str] = {
     "invoice_export": with_(RAW, "SELECT folio, cliente, fecha, fecha_de_pago, concepto, total FROM raw"),
     "clean_invoices": with_(INV, "SELECT * FROM inv"),
@@ -276,9 +298,7 @@ SELECT invoice_id, client, CAST(invoice_date AS TIMESTAMP) AS invoice_date, conc
   CAST(paid_date AS TIMESTAMP) AS paid_date, CAST(days_to_pay AS DOUBLE) AS days_to_pay, is_paid
 FROM inv"""),
     "conformed_invoices": with_(INV, "SELECT * FROM inv"),
-    "normalized_documents": r"""
-SELECT doc_id, trim(regexp_replace(strip_accents(upper(replace(text, 'ß', 'ss'))),
-  '[^A-Z0-9]+', ' ', 'g')) AS normalized FROM documents""",
+    "normalized_documents": f"SELECT doc_id, {NORMAL.format('text')} AS normalized FROM documents",
     "invoice_categories": with_(CAT, f"""
 SELECT invoice_id, category, {case("category", K.CATEGORY_NAMES)} AS category_name FROM cat"""),
     "report_formats": with_(INV, f"""
@@ -513,4 +533,50 @@ FROM filled
 UNION ALL SELECT series_key, month, 'programmed', {r("amount")}, NULL, NULL FROM monthly WHERE month > {AS_OF}
 UNION ALL SELECT series_key, month, 'projected', {r("amount")}, {r("greatest(amount - spread, 0)")},
   {r("amount + spread")} FROM proj"""),
+    "document_terms": with_(TERMS, "SELECT doc_id, term, tf FROM terms"),
+    "term_weights": with_(TERMS, f"""
+, dfs AS (SELECT term, count(*) AS df FROM terms GROUP BY term),
+w AS (
+  SELECT doc_id, term, tf,
+         (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS raw
+  FROM terms JOIN dfs USING (term)
+)
+SELECT doc_id, term, tf, {r("raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id))", 6)} AS weight FROM w"""),
+    "language_folds": with_(ranked("documents", "doc_id", "lang"), """
+SELECT doc_id, lang, CAST(class_rank % 5 AS INTEGER) AS fold FROM ranked"""),
+    "language_holdout": with_(ranked("documents", "doc_id", "lang"), """
+SELECT doc_id, lang, class_rank < round_even(class_size * 0.25::DOUBLE, 0) AS held_out FROM ranked"""),
+    "label_agreement_report": f"""
+WITH d AS (
+  SELECT quality AS y, CAST(n_chars % 3 AS INTEGER) AS p FROM labels JOIN documents USING (doc_id)
+),
+c AS (SELECT DISTINCT y AS k FROM d UNION SELECT DISTINCT p FROM d),
+m AS (
+  SELECT k, (SELECT count(*) FROM d WHERE y = k) AS support, (SELECT count(*) FROM d WHERE p = k) AS predicted,
+         (SELECT count(*) FROM d WHERE y = k AND p = k) AS hits FROM c
+),
+s AS (
+  SELECT k, support, hits, CASE WHEN predicted = 0 THEN 0 ELSE hits / predicted END AS pr,
+         CASE WHEN support = 0 THEN 0 ELSE hits / support END AS rc,
+         CASE WHEN predicted + support = 0 THEN 0 ELSE 2 * hits / (predicted + support) END AS f FROM m
+)
+SELECT CAST(k AS VARCHAR) AS class, {r("pr", 6)} AS precision, {r("rc", 6)} AS recall, {r("f", 6)} AS f1,
+  support FROM s
+UNION ALL SELECT 'accuracy', NULL, NULL, {r("sum(hits) / sum(support)", 6)}, CAST(sum(support) AS BIGINT) FROM s
+UNION ALL SELECT 'macro avg', {r("avg(pr)", 6)}, {r("avg(rc)", 6)}, {r("avg(f)", 6)},
+  CAST(sum(support) AS BIGINT) FROM s
+UNION ALL SELECT 'weighted avg', {r("sum(pr * support) / sum(support)", 6)},
+  {r("sum(rc * support) / sum(support)", 6)}, {r("sum(f * support) / sum(support)", 6)},
+  CAST(sum(support) AS BIGINT) FROM s""",
+    "label_agreement_by_fold": with_(ranked("labels", "doc_id", "quality"), f"""
+, f AS (
+  SELECT CAST(class_rank % 5 AS INTEGER) AS fold, count(*) AS n,
+         avg(CASE WHEN quality = toxic THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS a FROM ranked GROUP BY 1
+)
+SELECT fold, n, {r("a", 6)} AS accuracy, {r("avg(a) OVER ()", 6)} AS mean_accuracy,
+  {r("stddev_pop(a) OVER ()", 6)} AS std_accuracy FROM f"""),
+    "concept_training_set": f"""
+WITH inv AS (SELECT DISTINCT {CONCEPT} AS concept FROM part),
+cat AS (SELECT *, CASE {_hits} ELSE 'otro' END AS label FROM inv)
+SELECT {NORMAL.format("concept")} AS text, label FROM cat WHERE label <> 'otro'""",
 }
