@@ -62,9 +62,9 @@ def exact_quantiles(
     """One row (per group) with the quantiles of ``column``.
 
     ``by`` must be a column with a small fixed domain such as a flag.  The
-    input is read twice: for the sketch, and to rank.  In the second pass all
-    rows below a bracket collapse into one counter before the shuffle, so a
-    single task sees a share of about ``2 * MARGIN`` of the distinct values.
+    input is read twice: for the sketch, and to rank.  In the second pass the
+    rows on either side of a bracket collapse into one counter each before the
+    shuffle, so a single task sees about ``2 * MARGIN`` of the distinct values.
     """
     keys = [by] if by else []
     names, wanted = list(probs), list(probs.values())
@@ -77,26 +77,29 @@ def exact_quantiles(
         ranked = rows.join(F.broadcast(brackets), by)
     else:
         ranked = rows.withColumn("brackets", brackets.select("brackets").scalar())
-    ranked = (
+    zone = F.when(F.col("v") < F.col("b.low"), -1).when(F.col("v") > F.col("b.high"), 1).otherwise(0)
+    counted = (
         ranked.select(*keys, "v", F.explode("brackets").alias("b"))
-        .where(F.col("v") <= F.col("b.high"))
         .select(
-            *keys,
-            F.col("b.which").alias("which"),
-            F.col("b.position").alias("position"),
-            # NULL stands for "below the bracket" and sorts first
-            F.when(F.col("v") >= F.col("b.low"), F.col("v")).alias("v"),
+            *keys, F.col("b.which").alias("which"), F.col("b.position").alias("position"),
+            "v", zone.alias("zone"),
         )
-        .groupBy(*keys, "which", "position", "v")
-        .agg(F.count("*").alias("n"))
+        .withColumn("inner", F.when(F.col("zone") == 0, F.col("v")))
+        .groupBy(*keys, "which", "position", "zone", "inner")
+        .agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
     )
-    running = Window.partitionBy(*keys, "which").orderBy(F.col("v").asc_nulls_first())
-    upto = ranked.withColumn("upto", F.sum("n").over(running.rowsBetween(
+    running = Window.partitionBy(*keys, "which").orderBy("zone", "inner")
+    upto = counted.withColumn("upto", F.sum("n").over(running.rowsBetween(
         Window.unboundedPreceding, Window.currentRow)))
 
     def at(rank: Column) -> Column:
-        """Smallest value that covers a 0-based rank."""
-        return F.min_by("v", F.when(F.col("upto") > rank, F.col("upto")))
+        """Value at a 0-based rank: inside the bracket or right next to it."""
+        first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
+        return F.max(
+            F.when((F.col("zone") == 0) & rank.between(first, last), F.col("inner"))
+            .when((F.col("zone") == -1) & (rank == last), F.col("most"))
+            .when((F.col("zone") == 1) & (rank == first), F.col("least"))
+        )
 
     low_rank, high_rank = F.floor("position"), F.ceil("position")
     found = upto.groupBy(*keys, "which", "position").agg(

@@ -129,7 +129,7 @@ def conformed_invoices(spark, sf_dir):
 
 @query
 def normalized_documents(spark, sf_dir):
-    docs = feed.table(spark, sf_dir, "documents")
+    docs = tfidf.spread(feed.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", text.normalize(F.col("text")).alias("normalized"))
 
 
