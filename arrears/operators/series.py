@@ -27,20 +27,34 @@ def fill_months(monthly: DataFrame) -> DataFrame:
     """Every month from a key's first to its last; missing months are 0.
 
     Each month also emits the empty months up to the next one, so there is no
-    calendar table and no join.
+    calendar table and no join.  Further columns are carried along.
     """
+    extra = [c for c in monthly.columns if c not in ("series_key", "month", "amount")]
     ahead = F.lead("month").over(Window.partitionBy("series_key").orderBy("month"))
     until = F.coalesce(F.add_months(ahead, -1), F.col("month"))
     spread = monthly.withColumn("until", until).select(
         "series_key",
         F.col("month").alias("own"),
         "amount",
+        *extra,
         F.explode(F.sequence("month", "until", F.expr("interval 1 month"))).alias("month"),
     )
     return spread.select(
         "series_key",
         "month",
         F.when(F.col("month") == F.col("own"), F.col("amount")).otherwise(0.0).alias("amount"),
+        *extra,
+    )
+
+
+def with_last_month(monthly: DataFrame) -> DataFrame:
+    """Adds each key's last month, payments with a future date included.
+
+    Everything that is derived from the result reads one shuffle by key: a
+    filter on the month is not pushed below the window.
+    """
+    return monthly.withColumn(
+        "last_month", F.max("month").over(Window.partitionBy("series_key"))
     )
 
 
@@ -62,19 +76,16 @@ def last_months(filled: DataFrame, n: int = K.WINDOW_MONTHS) -> DataFrame:
     newest = Window.partitionBy("series_key").orderBy(F.col("month").desc())
     whole = Window.partitionBy("series_key")
     kept = filled.withColumn("back", F.row_number().over(newest)).where(F.col("back") <= n)
-    return kept.withColumn("n_months", F.count("*").over(whole)).select(
-        "series_key",
-        "month",
-        "amount",
-        (F.col("n_months") - F.col("back")).cast("int").alias("i"),
-        F.col("n_months").cast("int").alias("n_months"),
-    )
+    return kept.withColumn("n_months", F.count("*").over(whole).cast("int")).withColumn(
+        "i", (F.col("n_months") - F.col("back")).cast("int")
+    ).drop("back")
 
 
-def window_statistics(window: DataFrame) -> DataFrame:
+def window_statistics(window: DataFrame, *carried: str) -> DataFrame:
     """Weighted mean, slope and deviation of each key's last months.
 
     Weights are exp(0) for the oldest month up to exp(1) for the newest.
+    ``carried`` columns are constant per key.
     """
     weight = F.exp(F.coalesce(numeric.ratio(F.col("i"), F.col("n_months") - 1), F.lit(0.0)))
     return window.withColumn("weight", weight).groupBy("series_key").agg(
@@ -82,6 +93,7 @@ def window_statistics(window: DataFrame) -> DataFrame:
         (F.sum(F.col("weight") * F.col("amount")) / F.sum("weight")).alias("weighted_mean"),
         F.coalesce(F.regr_slope("amount", F.col("i").cast("double")), F.lit(0.0)).alias("slope"),
         F.stddev_samp("amount").alias("deviation"),
+        *[F.max(c).alias(c) for c in carried],
     )
 
 
@@ -92,16 +104,17 @@ def project(monthly: DataFrame, as_of: str, horizon: int = K.HORIZON) -> DataFra
     the last month of the whole series, payments with a future date included.
     A key without history yields no rows.
     """
-    stats = window_statistics(last_months(history(monthly, as_of)))
-    ends = monthly.groupBy("series_key").agg(F.max("month").alias("last_month"))
+    return _project(with_last_month(monthly), as_of, horizon)
+
+
+def _project(tagged: DataFrame, as_of: str, horizon: int = K.HORIZON) -> DataFrame:
+    stats = window_statistics(last_months(history(tagged, as_of)), "last_month")
     spread = F.coalesce(
         F.when(F.col("n_months") > 1, F.col("deviation")),
         F.col("weighted_mean") * K.SINGLE_POINT_BAND,
     )
-    ahead = (
-        stats.join(ends, "series_key")
-        .withColumn("spread", F.lit(K.BAND_SIGMAS) * spread)
-        .withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    ahead = stats.withColumn("spread", F.lit(K.BAND_SIGMAS) * spread).withColumn(
+        "h", F.explode(F.sequence(F.lit(1), F.lit(horizon)))
     )
     value = numeric.clip_zero(F.col("weighted_mean") + F.col("slope") * F.col("h"))
     return ahead.withColumn("amount", value).select(
@@ -116,13 +129,17 @@ def project(monthly: DataFrame, as_of: str, horizon: int = K.HORIZON) -> DataFra
 
 def cash_outlook(monthly: DataFrame, as_of: str) -> DataFrame:
     """History, programmed and projected months in one long table."""
+    tagged = with_last_month(monthly)
     none = F.lit(None).cast("double")
-    parts = [
-        history(monthly, as_of).select("series_key", "month", F.lit("history").alias("kind"),
-                                       "amount", none.alias("low"), none.alias("high")),
-        programmed(monthly, as_of).select("series_key", "month", F.lit("programmed").alias("kind"),
-                                          "amount", none.alias("low"), none.alias("high")),
-        project(monthly, as_of).select("series_key", "month", F.lit("projected").alias("kind"),
-                                       "amount", "low", "high"),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    def part(df: DataFrame, kind: str, low: Column = none, high: Column = none) -> DataFrame:
+        return df.select(
+            "series_key", "month", F.lit(kind).alias("kind"), "amount",
+            low.alias("low"), high.alias("high"),
+        )
+
+    return (
+        part(history(tagged, as_of), "history")
+        .unionByName(part(programmed(tagged, as_of), "programmed"))
+        .unionByName(part(_project(tagged, as_of), "projected", F.col("low"), F.col("high")))
+    )

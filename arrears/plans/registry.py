@@ -715,5 +715,6 @@ def concept_holdout_report(spark, sf_dir):
 
 @query
 def language_holdout_report(spark, sf_dir):
-    out = classifier.holdout_report(feed.table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    docs = feed.table(spark, sf_dir, "documents")
+    out = classifier.holdout_report(docs, "doc_id", "text", "lang", tol=1e-4)
     return rounded(out, 6, "precision", "recall", "f1")
