@@ -103,18 +103,31 @@ def _noise_points(
 
     An error of one month reaches the later ones through level and trend.
     """
+    steps = np.arange(1, K.HORIZON)
+    damped = np.cumsum(phi.to_numpy()[:, None] ** steps, axis=1)
+    carries = alpha.to_numpy()[:, None] * (1.0 + beta.to_numpy()[:, None] * damped)
     out = []
-    for s, a, b, p in zip(seed, alpha, beta, phi):
-        z = np.random.Generator(np.random.Philox(s % 2**64)).standard_normal((K.HORIZON, K.PATHS))
-        damped = np.cumsum(p ** np.arange(1, K.HORIZON))
-        carry = a * (1.0 + b * damped)
+    for key_seed, carry in zip(seed.to_list(), carries.tolist()):
+        draw = np.random.Generator(np.random.Philox(key_seed % 2**64))
+        z = draw.standard_normal((K.HORIZON, K.PATHS))
         noise = z.copy()
         for h in range(1, K.HORIZON):
-            noise[h] += carry[:h][::-1] @ z[:h]
-        out.append(np.quantile(noise, [K.LOW_QUANTILE, K.HIGH_QUANTILE], axis=1).T.ravel())
+            for back in range(1, h + 1):
+                noise[h] += carry[back - 1] * z[h - back]
+        noise.sort(axis=1)
+        low, high = (_at(noise, q) for q in (K.LOW_QUANTILE, K.HIGH_QUANTILE))
+        out.append(np.stack([low, high], axis=1).ravel())
     return pd.Series(out)
 
 
+def _at(ordered: np.ndarray, q: float) -> np.ndarray:
+    """Linearly interpolated quantile of sorted rows."""
+    position = q * (ordered.shape[1] - 1)
+    low = int(position)
+    part = position - low
+    return ordered[:, low] * (1.0 - part) + ordered[:, low + 1] * part
+
+
 _noise_points_once = _noise_points.asNondeterministic()
 
 

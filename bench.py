@@ -47,6 +47,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    spark.read.parquet(f"{sf_dir}/nation.parquet").count()  # session start-up is not timed
     start = time.time()
     # the invoice table is loaded once, as a scheduled load would do
     QUERIES["invoices_with_total"](spark, sf_dir).count()
