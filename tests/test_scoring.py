@@ -109,3 +109,32 @@ def test_formats(spark):
         formats.money(F.lit(-5.0)),
     ).first()
     assert list(row) == ["$1,234,567.89", "$1.2M", "$2k", "Marzo 2025", "x" * 55 + "…", "25.6%", "$-5.00"]
+
+
+def test_a_client_with_a_third_of_the_rows(spark):
+    """Same figures as a plain computation when one client dominates."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(12000):
+        client = "HOT" if i % 3 == 0 else f"C{rng.randint(1, 400):03}"
+        paid = rng.random() < 0.6
+        rows.append((i, client, float(rng.randint(1, 10**6)) / 100, int(paid), rng.randint(0, 400) if paid else None))
+    df = spark.createDataFrame(rows, "invoice_id int, client string, total double, is_paid int, days_to_pay int").select(
+        "*", F.lit("2025-01-01").cast("date").alias("invoice_date"), F.lit(None).cast("date").alias("paid_date"),
+        F.lit("x").alias("concept"))
+    features = {r.client: r for r in scoring.client_features(df).collect()}
+    medians = {r.client: r.median_days for r in reports.client_median_days(df).collect()}
+    for client in ("HOT", "C001", "C400"):
+        mine = [r for r in rows if r[1] == client]
+        days = [r[4] for r in mine if r[3]]
+        assert features[client].n_invoices == len(mine)
+        assert features[client].total_amount == pytest.approx(sum(r[2] for r in mine))
+        assert features[client].avg_days_to_pay == pytest.approx(np.mean(days))
+        assert medians[client] == pytest.approx(np.median([d for d in days if d > 0]))
+    # every pending page holds the rows that a plain sort puts there
+    pending = sorted(r[0] for r in rows if not r[3])
+    for page in (0, 7, 10**6):
+        first = min(page, -(-len(pending) // 15) - 1) * 15
+        got = reports.pending_page(df, page, slices=16).collect()
+        assert [r.invoice_id for r in got] == pending[first:first + 15]
+        assert got[0].n_rows == len(pending)
