@@ -127,9 +127,14 @@ def conformed_invoices(spark, sf_dir):
     return cleaning.conform(cleaning.widen(feed.invoices(spark, sf_dir)))
 
 
+def _documents(spark, sf_dir):
+    docs = feed.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return tfidf.spread(docs, "doc_id")
+
+
 @query
 def normalized_documents(spark, sf_dir):
-    docs = tfidf.spread(feed.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = _documents(spark, sf_dir)
     return docs.select("doc_id", text.normalize(F.col("text")).alias("normalized"))
 
 
@@ -619,12 +624,12 @@ def cash_forecast_total(spark, sf_dir):
 
 @query
 def document_terms(spark, sf_dir):
-    return tfidf.document_terms(feed.table(spark, sf_dir, "documents"), "doc_id", "text")
+    return tfidf.document_terms(_documents(spark, sf_dir), "doc_id", "text")
 
 
 @query
 def term_weights(spark, sf_dir):
-    out = tfidf.term_weights(feed.table(spark, sf_dir, "documents"), "doc_id", "text")
+    out = tfidf.term_weights(_documents(spark, sf_dir), "doc_id", "text")
     return rounded(out, 6, "weight")
 
 
@@ -715,6 +720,6 @@ def concept_holdout_report(spark, sf_dir):
 
 @query
 def language_holdout_report(spark, sf_dir):
-    docs = feed.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     out = classifier.holdout_report(docs, "doc_id", "text", "lang", tol=1e-4)
     return rounded(out, 6, "precision", "recall", "f1")

@@ -157,10 +157,6 @@ def with_(prefix: str, select: str) -> str:
     return f"WITH {prefix.strip()}\n{select}"
 
 
-def quantiles(column: str, source: str, where: str = "true") -> str:
-    return f"(SELECT quantile_cont({column}, {{}}) FROM {source} WHERE {where})"
-
-
 def histogram(prefix: str, source: str, column: str, bins: int) -> str:
     return with_(prefix, f"""
 , vals AS (SELECT CAST({column} AS DOUBLE) AS v FROM {source}),

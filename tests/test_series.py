@@ -3,7 +3,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from arrears.functions import smoothing
 from arrears.operators import forecast, reports, series
