@@ -4,16 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arrears.llm import simhash
+import public_tokenizers
+
+from arrears.llm import bpe, mixing, sharding, simhash
 from arrears.llm.common import table
+from arrears.sources.staging import fresh_path
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"), 24, fresh_path(spark, "slot-map"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_bpe": op2_bpe,
+    "op3_mixing": op3_mixing,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLES: dict[str, str] = {}
