@@ -66,7 +66,10 @@ def landing(p: np.ndarray, x: np.ndarray) -> np.ndarray:
 
     Units of many sizes are kept for landing.  Of all ways to round these ``LANDING`` units
     the one whose words come nearest to what was promised wins, ties by the nearest count.
+    Where one undecided document outweighs them, decided units are turned back, the best
+    fitting one first, as long as each brings the words nearer.
     """
+    start, longest = p, x
     order = np.argsort(-x, kind="stable")
     spared = np.unique(np.linspace(0, len(order) - 1, LANDING).astype(int)[1:-1]) if len(order) else order
     order = np.concatenate([np.delete(order, spared), order[spared]])
@@ -81,6 +84,15 @@ def landing(p: np.ndarray, x: np.ndarray) -> np.ndarray:
         p[i] = best >> k & 1
     out = np.empty(len(p))
     out[order] = np.round(p)
+    free = (start > TINY) & (start < 1 - TINY)
+    excess = float(((out - start) * longest).sum())
+    while free.any():
+        change = np.where(free, np.where(out == 1, -longest, longest), 0.0)
+        best = int(np.argmin(np.abs(excess + change)))
+        if abs(excess + change[best]) >= abs(excess):
+            break
+        out[best] = 1 - out[best]
+        excess += float(change[best])
     return out
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from arrears.llm import bpe, mixing, sharding, simhash
+from arrears.llm import bpe, mixing, pii, quality, sharding, simhash, toxicity
 from arrears.llm.common import table
 from arrears.sources.staging import fresh_path
 
@@ -24,6 +24,25 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.DEFAULT_KEY)
+    counts = F.coalesce(F.col("__counts"), F.create_map().cast("map<string,int>"))
+    return out.select(
+        "doc_id",
+        "text",
+        F.aggregate(F.map_values(counts), F.lit(0), lambda a, n: a + n).alias("n_entities"),
+        *[F.coalesce(F.try_element_at(counts, F.lit(k)), F.lit(0)).alias(f"n_{k}") for k in pii.KINDS],
+    )
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"), 24, fresh_path(spark, "slot-map"))
 
@@ -32,6 +51,9 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
+    "op4_pii": op4_pii,
+    "op5_toxicity": op5_toxicity,
+    "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,
 }
 
