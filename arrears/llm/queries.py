@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from arrears.llm import bpe, mixing, pii, quality, sharding, simhash, toxicity
+from arrears.llm import bpe, line_rules, mixing, pii, quality, sharding, simhash, toxicity
 from arrears.llm.common import table
 from arrears.sources.staging import fresh_path
 
@@ -39,6 +39,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judged(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"))
 
@@ -53,8 +57,9 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
+    "op7_line_rules": op7_line_rules,
     "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_line_rules": line_rules.ORACLE}
