@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from arrears.llm import bpe, line_rules, mixing, pii, quality, sharding, simhash, toxicity
+from arrears.llm import bpe, line_rules, mixing, pii, quality, sharding, simhash, toxicity, vectors
 from arrears.llm.common import table
 from arrears.sources.staging import fresh_path
 
@@ -43,6 +43,10 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
     "op7_line_rules": op7_line_rules,
+    "op8_vectors": op8_vectors,
     "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,
 }
