@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,3 +49,22 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         rows = max(1, int(batch.num_rows * limit / max(1, batch.column(at).nbytes)))
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def removed(df: DataFrame) -> None:
+    """Delete the files of a table that ``written`` made and nobody reads any more."""
+    spark = df.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop).delete(path, True)
+
+
+def shuffles_freed(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished phases now instead of at some later collection.
+
+    Spark drops a shuffle's files once the driver has collected the last reference to it.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from arrears.llm import bpe, line_rules, mixing, pii, quality, sharding, simhash, toxicity, vectors
+from arrears.llm import bpe, line_rules, mixing, pii, quality, repeats, sharding, simhash, toxicity, vectors
 from arrears.llm.common import table
 from arrears.sources.staging import fresh_path
 
@@ -39,6 +39,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judged(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
+    "op6_repeats": op6_repeats,
     "op7_line_rules": op7_line_rules,
     "op8_vectors": op8_vectors,
     "op9_quality": op9_quality,
