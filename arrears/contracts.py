@@ -26,7 +26,7 @@ INVOICES = T.StructType(
         T.StructField("client", T.StringType(), False),
         T.StructField("invoice_date", T.DateType(), False),
         T.StructField("concept", T.StringType()),
-        T.StructField("total", T.DoubleType()),
+        T.StructField("total", T.DoubleType(), False),
         T.StructField("paid_date", T.DateType()),
         T.StructField("days_to_pay", T.IntegerType()),
         T.StructField("is_paid", T.IntegerType(), False),

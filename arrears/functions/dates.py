@@ -5,21 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 
+#: a time of day that may follow a date, which it does not change
+_TIME = r"(?:[ T]+\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?(?: ?[AaPp]\.?[Mm]\.?)?(?:Z|[+-]\d{2}:?\d{2})?)?"
+#: day, month and year of four or two digits between slashes, hyphens or dots
+_DAY_FIRST = rf"^(\d{{1,2}})([/.-])(\d{{1,2}})\2(\d{{4}}|\d{{2}}){_TIME}$"
+#: year, month and day
+_YEAR_FIRST = rf"^(\d{{4}})([/.-])(\d{{1,2}})\2(\d{{1,2}}){_TIME}$"
+
+
 def mixed_date(c: Column, iso_text: bool = True) -> Column:
     """Day-first text to DATE; unreadable text becomes NULL.
 
-    With ``iso_text=True`` an ISO date or timestamp written as text is read as
-    well.  ``iso_text=False`` reads day-first text only, so ISO text is lost.
-    The rule looks at one row at a time, never at the rest of the column.
+    Read are, in this order and with blanks around them ignored: ``d/M/yyyy``,
+    ``d/M/yy`` (2000 to 2099), both also with ``-`` or ``.``, and with
+    ``iso_text=True`` ``yyyy-M-d``, also with ``/`` or ``.``.  A time of day
+    may follow.  ``iso_text=False`` reads day-first text only, so ISO text is
+    lost.  The rule looks at one row at a time, never at the rest of the
+    column.
     """
-    day_first = F.try_to_date(c, "d/M/yyyy")
-    if not iso_text:
-        return day_first
-    return F.coalesce(
-        day_first,
-        F.try_to_date(c, "yyyy-MM-dd HH:mm:ss"),
-        F.try_to_date(c, "yyyy-MM-dd"),
-    )
+    t = F.trim(c)
+
+    def parts(pattern: str, groups: tuple[int, int, int]) -> Column:
+        day, month, year = (F.regexp_extract(t, pattern, g) for g in groups)
+        full = F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year)
+        return F.when(t.rlike(pattern), F.try_to_date(F.concat_ws("/", day, month, full), "d/M/yyyy"))
+
+    day_first = parts(_DAY_FIRST, (1, 3, 4))
+    return F.coalesce(day_first, parts(_YEAR_FIRST, (4, 3, 1))) if iso_text else day_first
 
 
 def as_date(c: Column, data_type: T.DataType, iso_text: bool = True) -> Column:

@@ -64,7 +64,7 @@ def errors(y, params, level, trend, season):
     return np.stack(out), level, trend, seasons
 
 
-@lru_cache(maxsize=256)
+@lru_cache(maxsize=4)  # a few MB each, more with longer series
 def _start_basis(n: int, seasonal: bool):
     """Per candidate: effect of each initial state on the errors.
 

@@ -18,23 +18,30 @@ def _number(df: DataFrame, name: str) -> Column:
     return numeric.drop_nan(F.col(name).cast("double"))
 
 
-def clean_invoices(raw: DataFrame, iso_text: bool = True) -> DataFrame:
-    """Raw export to the ``invoices`` contract; one narrow pass, no shuffle.
-
-    Rows without a client are cancellations and are dropped; so are rows whose
-    invoice date cannot be read.
-    """
+def _read(raw: DataFrame, iso_text: bool) -> DataFrame:
+    """The export's columns with their types, all rows."""
     raw = trim_headers(raw)
     types = {f.name: f.dataType for f in raw.schema.fields}
-    dated = raw.dropna(subset=["Cliente"]).select(
-        F.col("Folio").try_cast("bigint").alias("invoice_id"),
+    # a sheet with a gap in its numbers writes them as fractions
+    folio = F.regexp_replace(F.trim(F.col("Folio").cast("string")), r"\.0+$", "")
+    return raw.select(
+        folio.try_cast("bigint").alias("invoice_id"),
         text.client_name(F.col("Cliente")).alias("client"),
         dates.as_date(F.col("Fecha"), types["Fecha"], iso_text).alias("invoice_date"),
         F.col("Concepto").alias("concept"),
         _number(raw, "Total").alias("total"),
         dates.as_date(F.col("FECHA DE PAGO"), types["FECHA DE PAGO"], iso_text).alias("paid_date"),
+        F.trim(F.col("FECHA DE PAGO").cast("string")).alias("paid_text"),
     )
-    return dated.dropna(subset=["invoice_date"]).select(
+
+
+def clean_invoices(raw: DataFrame, iso_text: bool = True) -> DataFrame:
+    """Raw export to the ``invoices`` contract; one narrow pass, no shuffle.
+
+    Rows without a client are cancellations and are dropped; so are rows whose
+    invoice date cannot be read.  :func:`dropped_invoices` counts them.
+    """
+    return _read(raw, iso_text).dropna(subset=["client", "invoice_date"]).select(
         "invoice_id",
         "client",
         "invoice_date",
@@ -46,6 +53,21 @@ def clean_invoices(raw: DataFrame, iso_text: bool = True) -> DataFrame:
     )
 
 
+def dropped_invoices(raw: DataFrame, iso_text: bool = True) -> DataFrame:
+    """``reason, n``: rows that cleaning drops, and payment dates that it cannot read.
+
+    Every dropped row has one reason; an unreadable payment date is counted for
+    kept rows, which it turns unpaid.
+    """
+    rows = _read(raw, iso_text)
+    reason = (
+        F.when(F.col("client").isNull(), "no client")
+        .when(F.col("invoice_date").isNull(), "unreadable invoice date")
+        .when(F.col("paid_date").isNull() & (F.length("paid_text") > 0), "unreadable payment date")
+    )
+    return rows.select(reason.alias("reason")).where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n"))
+
+
 def clean_ledger(raw: DataFrame) -> DataFrame:
     """Receivables ledger: rows need an invoice, balances must be numbers."""
     return raw.dropna(subset=["factura"]).select(
@@ -70,8 +92,8 @@ def conform(df: DataFrame) -> DataFrame:
     """Loosely typed invoices to the contract types.
 
     Timestamps become dates, fractional days become nullable whole days with
-    NaN as NULL.  Keys and mandatory columns are asserted by the quality
-    operators, because Parquet does not enforce them.
+    NaN as NULL.  Parquet enforces neither keys nor mandatory columns: the
+    guard of the contract does, before a batch replaces a table.
     """
     return df.select(
         F.col("invoice_id").cast("bigint").alias("invoice_id"),

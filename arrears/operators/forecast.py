@@ -12,6 +12,9 @@ from arrears import contracts as K, deploy
 from arrears.functions import formats, numeric, smoothing
 from arrears.operators import series
 
+#: months that a fit needs
+SHORTEST = 3
+
 _FIT_FIELDS = ["alpha", "beta", "gamma", "phi", "level", "trend", "sse"]
 _FIT_TYPE = T.StructType(
     [T.StructField(name, T.DoubleType()) for name in _FIT_FIELDS]
@@ -37,8 +40,8 @@ def _fit(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield out.assign(season=season)
 
 
-# Marked so that the optimiser never runs a function once per field that is
-# read from its result; both depend on their arguments only.
+# Marked so that the optimiser never runs the function once per field that is
+# read from its result; it depends on its arguments only.
 _fit_once = _fit.asNondeterministic()
 
 
@@ -53,20 +56,33 @@ def month_arrays(filled: DataFrame) -> DataFrame:
     )
 
 
-def fit_series(monthly: DataFrame) -> DataFrame:
-    """Damped additive smoothing per key, with yearly season from 24 months on.
+def spread_arrays(monthly: DataFrame, n_partitions: int | None = None) -> DataFrame:
+    """``month_arrays`` of the gap-filled series, spread over tasks for the fit.
 
-    Keys with fewer than three months are left to the weighted-mean
-    projection.  Spark spreads the keys over tasks; a task sees one key as one
-    array of months, however many payments the key had.
+    The arrays are small but the fit is not: a given number of partitions
+    keeps adaptive execution from merging them, and this one exchange also
+    serves the gap filling and the grouping.  ``n_partitions`` should grow
+    with the keys (some thousands of keys each); the session's number of
+    shuffle partitions is the default.
     """
     spark = monthly.sparkSession
-    deploy.ship(spark)
-    # The arrays are small but the fit is not: a fixed number of partitions
-    # keeps adaptive execution from merging them, and this one exchange also
-    # serves the gap filling and the grouping.
-    spread = monthly.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "series_key")
-    arrays = month_arrays(series.fill_months(spread)).where(F.size("amounts") >= 3)
+    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return month_arrays(series.fill_months(monthly.repartition(n, "series_key")))
+
+
+def fit_series(monthly: DataFrame, n_partitions: int | None = None) -> DataFrame:
+    """Damped additive smoothing per key, with yearly season from 24 months on.
+
+    Keys with fewer than three months have no fit; :func:`forecast` projects
+    their weighted mean.  Spark spreads the keys over tasks; a task sees one
+    key as one array of months, however many payments the key had.
+    """
+    return fit_arrays(spread_arrays(monthly, n_partitions).where(F.size("amounts") >= SHORTEST))
+
+
+def fit_arrays(arrays: DataFrame) -> DataFrame:
+    """The fits of month arrays with three months at least."""
+    deploy.ship(arrays.sparkSession)
     n = F.size("amounts")
     seasonal = n >= K.SEASONAL_FROM
     n_params = F.when(seasonal, 4 + 2 + K.SEASON).otherwise(3 + 2)
@@ -95,55 +111,30 @@ def point_forecast(h: int) -> Column:
     return F.col("level") + _damping(h) * F.col("trend") + season
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _noise_points(
-    seed: pd.Series, alpha: pd.Series, beta: pd.Series, phi: pd.Series
-) -> pd.Series:
-    """Low and high points of the simulated noise (deviation 1), per month.
+#: standard deviations of a normal error between the middle and the 10 or 90 percent point
+_TENTH = 1.2815515655446004
 
-    An error of one month reaches the later ones through level and trend.
+
+def error_growth(h: int) -> Column:
+    """Standard deviation of the error ``h`` months ahead, in units of one month's.
+
+    An error of one month reaches the later ones through level and trend, so
+    the error of month h is a sum of independent normal errors.
     """
-    steps = np.arange(1, K.HORIZON)
-    damped = np.cumsum(phi.to_numpy()[:, None] ** steps, axis=1)
-    carries = alpha.to_numpy()[:, None] * (1.0 + beta.to_numpy()[:, None] * damped)
-    out = []
-    for key_seed, carry in zip(seed.to_list(), carries.tolist()):
-        draw = np.random.Generator(np.random.Philox(key_seed % 2**64))
-        z = draw.standard_normal((K.HORIZON, K.PATHS))
-        noise = z.copy()
-        for h in range(1, K.HORIZON):
-            for back in range(1, h + 1):
-                noise[h] += carry[back - 1] * z[h - back]
-        noise.sort(axis=1)
-        low, high = (_at(noise, q) for q in (K.LOW_QUANTILE, K.HIGH_QUANTILE))
-        out.append(np.stack([low, high], axis=1).ravel())
-    return pd.Series(out)
-
-
-def _at(ordered: np.ndarray, q: float) -> np.ndarray:
-    """Linearly interpolated quantile of sorted rows."""
-    position = q * (ordered.shape[1] - 1)
-    low = int(position)
-    part = position - low
-    return ordered[:, low] * (1.0 - part) + ordered[:, low + 1] * part
-
-
-_noise_points_once = _noise_points.asNondeterministic()
-
-
-def simulate(fits: DataFrame) -> DataFrame:
-    """Expected month amounts with the 10 and 90 percent points of 1000 paths.
-
-    The errors are seeded by the key alone, so a task that runs again draws
-    the same paths.  Only the points leave the task; nothing is shuffled.
+    total = F.lit(1.0)
+    for k in range(1, h):
+        carry = F.col("alpha") * (1 + F.col("beta") * _damping(k))
+        total = total + carry * carry
+    return F.sqrt(total)
+
+
+def bands(fits: DataFrame) -> DataFrame:
+    """Expected month amounts with the 10 and 90 percent points of normal errors.
+
+    These are the points that simulated paths tend to as their number grows.
     Amounts are cut at 0 and rounded.
     """
-    deploy.ship(fits.sparkSession)
     sigma = F.sqrt(F.col("sse") / F.col("n_months"))
-    seeded = fits.withColumn(
-        "noise",
-        _noise_points_once(F.xxhash64("series_key", F.lit(K.SEED)), F.col("alpha"), F.col("beta"), F.col("phi")),
-    )
 
     def money(c: Column) -> Column:
         return numeric.round_even(numeric.clip_zero(c), 2)
@@ -154,20 +145,45 @@ def simulate(fits: DataFrame) -> DataFrame:
                 F.lit(h).alias("h"),
                 F.add_months("last_month", h).alias("month"),
                 money(point_forecast(h)).alias("expected"),
-                money(point_forecast(h) + sigma * F.get("noise", F.lit(2 * h - 2))).alias("p10"),
-                money(point_forecast(h) + sigma * F.get("noise", F.lit(2 * h - 1))).alias("p90"),
+                money(point_forecast(h) - _TENTH * sigma * error_growth(h)).alias("p10"),
+                money(point_forecast(h) + _TENTH * sigma * error_growth(h)).alias("p90"),
             )
             for h in range(1, K.HORIZON + 1)
         ]
     )
-    return seeded.select("series_key", F.inline(entries)).select(
+    return fits.select("series_key", F.inline(entries)).select(
         "series_key", "h", formats.year_month(F.col("month")).alias("month"),
         "expected", "p10", "p90",
     )
 
 
-def forecast(monthly: DataFrame) -> DataFrame:
-    return simulate(fit_series(monthly))
+def short_series(arrays: DataFrame) -> DataFrame:
+    """The weighted-mean projection of series with fewer than three months."""
+    back = F.size("amounts") - 1 - F.col("i")
+    rows = arrays.select("series_key", "last_month", "amounts", F.posexplode("amounts").alias("i", "amount"))
+    monthly = rows.select("series_key", "last_month", F.add_months("last_month", -back).alias("month"), "amount")
+    ahead = series.project_known(monthly, "9999-12-31")
+
+    def money(c: str) -> Column:
+        return numeric.round_even(numeric.clip_zero(F.col(c)), 2)
+
+    return ahead.select(
+        "series_key", "h", formats.year_month(F.col("month")).alias("month"),
+        money("amount").alias("expected"), money("low").alias("p10"), money("high").alias("p90"),
+    )
+
+
+def forecast(monthly: DataFrame, n_partitions: int | None = None) -> DataFrame:
+    """Every key: smoothing from three months on, the weighted-mean projection below.
+
+    ``method`` says which of the two.
+    """
+    arrays = spread_arrays(monthly, n_partitions)
+    long = bands(fit_arrays(arrays.where(F.size("amounts") >= SHORTEST)))
+    short = short_series(arrays.where(F.size("amounts") < SHORTEST))
+    return long.withColumn("method", F.lit("smoothing")).unionByName(
+        short.withColumn("method", F.lit("weighted mean"))
+    )
 
 
 def horizon_total(forecasts: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from arrears import contracts as K
 from arrears.functions.numeric import ratio, round_even
@@ -13,6 +13,9 @@ from arrears.functions.numeric import ratio, round_even
 class ValidationError(Exception):
     """The batch was refused; the table was not touched."""
 
+    #: every key that occurs more than once, where that was a problem
+    repeated: DataFrame | None = None
+
     def __init__(self, table: str, problems: list[str]):
         self.table = table
         self.problems = list(problems)
@@ -28,7 +31,12 @@ class Guard:
     required: tuple[str, ...]
 
 
-INVOICE_GUARD = Guard(key="invoice_id", required=("invoice_date",))
+def contract_guard(schema: T.StructType, key: str) -> Guard:
+    """The guard of a table contract: its key, and all columns that may not be NULL."""
+    return Guard(key, tuple(f.name for f in schema.fields if not f.nullable))
+
+
+INVOICE_GUARD = contract_guard(K.INVOICES, "invoice_id")
 SCORE_GUARD = Guard(key="client", required=("client",))
 
 
@@ -135,10 +143,15 @@ def refuse_if_broken(df: DataFrame, table: str, guard: Guard, current_rows: int
     if not found:
         return
     texts = [f"{p.rule}: {p.detail}" for p in found]
-    if any(p.rule == "repeated_key" for p in found):
-        shown = [str(r[0]) for r in repeated_keys(df, guard.key).take(10)]
-        texts.append(f"most repeated {guard.key}: {', '.join(shown)}")
-    raise ValidationError(table, texts)
+    error = ValidationError(table, texts)
+    repeats = [p.n_rows for p in found if p.rule == "repeated_key"]
+    if repeats:
+        every = repeated_keys(df, guard.key)
+        shown = [str(r[0]) for r in every.take(10)]
+        texts.append(f"most repeated {guard.key}, first {len(shown)} of {repeats[0]}: {', '.join(shown)}")
+        error = ValidationError(table, texts)
+        error.repeated = every
+    raise error
 
 
 # --------------------------------------------------------------------------
@@ -149,7 +162,9 @@ def refuse_if_broken(df: DataFrame, table: str, guard: Guard, current_rows: int
 def fingerprint(df: DataFrame, name: str) -> DataFrame:
     """Row count and an order-free content hash of one table."""
     columns = sorted(df.columns)
-    row_hash = F.xxhash64(*[F.col(c) for c in columns]).cast("decimal(38,0)")
+    # the hash passes over NULLs: a mark beside each value tells where they stand
+    marked = [part for c in columns for part in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    row_hash = F.xxhash64(*marked).cast("decimal(38,0)")
     return df.agg(
         F.count("*").alias("n_rows"),
         F.coalesce(F.sum(row_hash), F.lit(0)).cast("decimal(38,0)").alias("content"),

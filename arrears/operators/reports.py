@@ -416,7 +416,9 @@ def pending_page(
     A deep page must not sort everything before it into one task, so the page
     is located first: by counts per day, then by counts per slice of the
     invoice numbers of those days.  Only the slices that the page touches are
-    ranked; numbers are unique, which bounds a slice.
+    ranked; numbers are unique, which bounds a slice.  Rows without a number
+    are a slice of their own behind those of their day, ranked by client,
+    concept and total.
     """
     rows = invoices.where("is_paid = 0 AND client IS NOT NULL").select(
         "invoice_id", "client", "invoice_date", "concept", "total"
@@ -443,7 +445,10 @@ def pending_page(
     in_days = rows.join(
         F.broadcast(days.select("invoice_date", "before", "first", "low_id", width.alias("width"))),
         "invoice_date",
-    ).withColumn("slice", F.floor((F.col("invoice_id") - F.col("low_id")) / F.col("width")))
+    ).withColumn(
+        "slice",
+        F.coalesce(F.floor((F.col("invoice_id") - F.col("low_id")) / F.col("width")), F.lit(slices + 1)),
+    )
     by_slice = Window.partitionBy("invoice_date").orderBy("slice")
     touched = (
         in_days.groupBy("invoice_date", "slice", "before", "first")
@@ -451,7 +456,7 @@ def pending_page(
         .withColumn("start", F.col("before") + F.sum("n").over(by_slice) - F.col("n"))
         .where((F.col("start") < F.col("first") + size) & (F.col("start") + F.col("n") > F.col("first")))
     )
-    in_slice = Window.partitionBy("invoice_date", "slice").orderBy("invoice_id")
+    in_slice = Window.partitionBy("invoice_date", "slice").orderBy("invoice_id", "client", "concept", "total")
     placed = in_days.join(
         F.broadcast(touched.select("invoice_date", "slice", "start")), ["invoice_date", "slice"]
     ).withColumn("position", F.col("start") + F.row_number().over(in_slice))

@@ -104,10 +104,11 @@ def project(monthly: DataFrame, as_of: str, horizon: int = K.HORIZON) -> DataFra
     the last month of the whole series, payments with a future date included.
     A key without history yields no rows.
     """
-    return _project(with_last_month(monthly), as_of, horizon)
+    return project_known(with_last_month(monthly), as_of, horizon)
 
 
-def _project(tagged: DataFrame, as_of: str, horizon: int = K.HORIZON) -> DataFrame:
+def project_known(tagged: DataFrame, as_of: str, horizon: int = K.HORIZON) -> DataFrame:
+    """``project`` of months that already carry their key's ``last_month``."""
     stats = window_statistics(last_months(history(tagged, as_of)), "last_month")
     spread = F.coalesce(
         F.when(F.col("n_months") > 1, F.col("deviation")),
@@ -141,5 +142,5 @@ def cash_outlook(monthly: DataFrame, as_of: str) -> DataFrame:
     return (
         part(history(tagged, as_of), "history")
         .unionByName(part(programmed(tagged, as_of), "programmed"))
-        .unionByName(part(_project(tagged, as_of), "projected", F.col("low"), F.col("high")))
+        .unionByName(part(project_known(tagged, as_of), "projected", F.col("low"), F.col("high")))
     )

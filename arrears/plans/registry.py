@@ -76,6 +76,91 @@ def clean_invoices_from_csv(spark, sf_dir):
     return cleaning.clean_invoices(exports.read_invoices(spark, path))
 
 
+@query
+def invoices_from_shuffled_csv(spark, sf_dir):
+    """Two exports, one with other column order, further columns and fractional numbers."""
+    path = staging.fresh_path(spark, "export")
+    raw = cleaning.trim_headers(feed.raw_invoices(spark, sf_dir))
+    half = F.col("Folio").cast("bigint") % 2 == 0
+    exports.write_csv(raw.where(half).withColumnRenamed("Total", " Total "), f"{path}/plain")
+    other = raw.where(~half).select(
+        F.lit("x").alias("Notas"), "Cliente", F.concat("Folio", F.lit(".0")).alias(" Folio"), F.col("FECHA DE PAGO"),
+        "Fecha", F.lit(1).alias("Extra"), "Concepto", F.col("Total").alias("Total "),
+    )
+    exports.write_csv(other, f"{path}/other")
+    return cleaning.clean_invoices(exports.read_invoices(spark, f"{path}/*"))
+
+
+@query
+def date_spellings(spark, sf_dir):
+    """One date per order in twelve spellings, one of them no date."""
+    date = F.col("o_orderdate")
+    forms = [
+        "dd/MM/yyyy", "d/M/yyyy", "dd/MM/yyyy HH:mm", "dd-MM-yyyy", "dd/MM/yy", "yyyy-MM-dd'T'HH:mm:ss",
+        "yyyy-MM-dd HH:mm:ss.SSS", "  dd/MM/yyyy ", "yyyy-MM-dd", "dd.MM.yyyy", "yyyy/MM/dd",
+    ]
+    kind = F.col("o_orderkey") % (len(forms) + 1)
+    spelled = F.when(kind == len(forms), F.lit("32/13/2025"))
+    for i, form in enumerate(forms):
+        spelled = spelled.when(kind == i, F.date_format(date, form))
+    rows = feed.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_key"), kind.alias("kind"), spelled.alias("spelled")
+    )
+    # two digits say nothing about the century: those dates come out in this one
+    return rows.select(
+        "order_key", "kind", dates.mixed_date(F.col("spelled")).alias("lenient"),
+        dates.mixed_date(F.col("spelled"), iso_text=False).alias("strict"),
+    )
+
+
+@query
+def dropped_invoices(spark, sf_dir):
+    raw = cleaning.trim_headers(feed.raw_invoices(spark, sf_dir))
+    spoiled = F.when(F.col("Folio").cast("bigint") % 31 == 0, F.lit("pronto")).otherwise(F.col("FECHA DE PAGO"))
+    return cleaning.dropped_invoices(raw.withColumn("FECHA DE PAGO", spoiled))
+
+
+@query
+def scanned_labels(spark, sf_dir):
+    """Write a label file with the columns in another order, scan it by header."""
+    path = staging.fresh_path(spark, "labels")
+    rows = feed.table(spark, sf_dir, "part").select(
+        F.col("p_type").alias("categoria_modelo"), F.col("p_name").alias("concepto"), F.col("p_brand").alias("etiqueta_auto")
+    )
+    exports.write_csv(rows, path)
+    return exports.read_labels(spark, path)
+
+
+@query
+def scanned_sheet(spark, sf_dir):
+    """Write ledger sheets with banner, header and an empty first column, scan and clean them."""
+    path = staging.fresh_path(spark, "sheet")
+    ledger = feed.raw_ledger(spark, sf_dir)
+    sheet = F.pmod(F.xxhash64("factura"), F.lit(3))
+    line = F.to_csv(F.struct(F.lit("").alias("blank"), *[F.col(c) for c in K.LEDGER.fieldNames()]))
+    body = ledger.where("factura IS NOT NULL").select(sheet.alias("sheet"), F.lit(9).alias("place"), line.alias("value"))
+    top = spark.range(3).select(
+        F.col("id").alias("sheet"), F.posexplode(F.array(F.lit("Cartera"), F.lit(""), F.lit(",Factura,OC,Saldo,Orig,Fecha"))).alias("place", "value")
+    )
+    every = top.unionByName(body).repartition("sheet").sortWithinPartitions("sheet", "place")
+    every.select("sheet", "value").write.partitionBy("sheet").text(path)
+    return rounded(cleaning.clean_ledger(exports.read_sheet(spark, path, K.LEDGER, 2, skip_columns=1)), 2, "curtrxam")
+
+
+@query
+def copied_tables(spark, sf_dir):
+    """Copies of catalog tables; missing and empty sources are passed over."""
+    name = f"copied_{uuid.uuid4().hex}"
+    root = staging.fresh_path(spark, "tables")
+    sources = {n: feed.table(spark, sf_dir, n) for n in ("customer", "supplier")}
+    sources["empty"] = feed.table(spark, sf_dir, "nation").limit(0)
+    for n, df in sources.items():
+        tables.swap_table(spark, f"{name}_{n}", df, root)
+    pairs = {f"{name}_{n}": f"{name}_{n}_copy" for n in [*sources, "missing"]}
+    report = tables.copy_tables(spark, pairs, root)
+    return report.withColumn("table_name", F.replace("table_name", F.lit(f"{name}_"), F.lit("")))
+
+
 @query
 def date_parsing_modes(spark, sf_dir):
     """Lenient and strict reading of the same date text."""
@@ -268,15 +353,51 @@ def invoice_load_problems(spark, sf_dir):
     rows = feed.table(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_linenumber") < 7, F.col("l_orderkey")).alias("invoice_id"),
         F.when(F.col("l_returnflag") != "R", F.col("l_shipdate").cast("date")).alias("invoice_date"),
+        F.when(F.col("l_linestatus") != "F", F.lit("x")).alias("client"),
+        F.col("l_extendedprice").alias("total"),
+        F.lit(0).alias("is_paid"),
     )
     return quality.problems(rows, quality.INVOICE_GUARD, 1_000_000_000)
 
 
 @query
 def clean_load_problems(spark, sf_dir):
-    """The clean invoices pass every guard, so no rows."""
+    """The clean invoices break one rule only: every tenth number has lost its total."""
     rows = feed.invoices(spark, sf_dir)
-    return quality.problems(rows, quality.INVOICE_GUARD, 0)
+    broken = rows.withColumn("total", F.when(F.col("invoice_id") % 10 != 0, F.col("total")))
+    return quality.problems(broken, quality.INVOICE_GUARD, 0)
+
+
+@query
+def contract_refusals(spark, sf_dir):
+    """Batches without numbers, clients, dates or totals do not get into the table."""
+    table = f"contract_{uuid.uuid4().hex}"
+    root = staging.fresh_path(spark, "tables")
+    rows = feed.invoices(spark, sf_dir)
+    tables.guarded_swap(spark, table, rows, quality.INVOICE_GUARD, root, K.INVOICES)
+    refused = []
+    for column in ("invoice_id", "client", "invoice_date", "total"):
+        lost = F.when(F.col("is_paid") == 1, F.col(column)).alias(column)
+        try:
+            tables.guarded_swap(
+                spark, table, rows.select(*[lost if c == column else c for c in rows.columns]), quality.INVOICE_GUARD, root
+            )
+        except quality.ValidationError as error:
+            refused.append((column, len(error.problems)))
+    n_rows = spark.table(table).count()
+    return spark.createDataFrame([(c, n, n_rows) for c, n in refused], "column_name string, n_problems int, n_rows bigint")
+
+
+@query
+def repeats_of_a_refusal(spark, sf_dir):
+    """The full list of repeated numbers that hangs on a refusal."""
+    rows = feed.invoices(spark, sf_dir)
+    twice = rows.unionByName(rows.where("invoice_id % 7 = 0"))
+    try:
+        quality.refuse_if_broken(twice, "invoices", quality.INVOICE_GUARD, 0)
+    except quality.ValidationError as error:
+        return error.repeated
+    raise AssertionError("the batch was not refused")
 
 
 @query
@@ -538,6 +659,14 @@ def last_pending_page(spark, sf_dir):
     return reports.pending_page(feed.invoices(spark, sf_dir), 1_000_000_000)
 
 
+@query
+def pending_page_without_numbers(spark, sf_dir):
+    """A page where every third invoice has lost its number."""
+    rows = feed.invoices(spark, sf_dir)
+    lost = F.when(F.col("invoice_id") % 3 > 0, F.col("invoice_id"))
+    return reports.pending_page(rows.withColumn("invoice_id", lost), 3)
+
+
 # --------------------------------------------------------------------------
 # Monthly series
 # --------------------------------------------------------------------------
@@ -612,6 +741,45 @@ def cash_forecast_by_client(spark, sf_dir):
     return forecast.forecast(_by_client(spark, sf_dir))
 
 
+@query
+def forecast_clients(spark, sf_dir):
+    """Every client with its method and the number of months that it got."""
+    out = forecast.forecast(_by_client(spark, sf_dir))
+    return out.groupBy("series_key", "method").agg(F.count("*").alias("n_months"))
+
+
+@query
+def cash_forecast_short_clients(spark, sf_dir):
+    """Clients with one or two months: the weighted-mean projection."""
+    return forecast.forecast(_by_client(spark, sf_dir)).where("method = 'weighted mean'")
+
+
+@query
+def forecast_bands(spark, sf_dir):
+    """Bands of fits whose parameters come from the customers."""
+    key, balance = F.col("c_custkey"), F.col("c_acctbal").cast("double")
+    fits = feed.table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("series_key"),
+        F.lit("1998-12-01").cast("date").alias("last_month"),
+        F.lit(40).alias("n_months"),
+        (0.1 + (key % 7) / 10).alias("alpha"),
+        (0.01 + (key % 5) / 10).alias("beta"),
+        (0.8 + (key % 4) / 20).alias("phi"),
+        (balance + 2000).alias("level"),
+        (balance / 100).alias("trend"),
+        (F.abs(balance) * 50).alias("sse"),
+        F.lit(None).cast("array<double>").alias("season"),
+    )
+    return forecast.bands(fits)
+
+
+@query
+def cash_projection_total(spark, sf_dir):
+    """Expected amount of each client over the projected months."""
+    projected = series.project(_by_client(spark, sf_dir), AS_OF).withColumnRenamed("amount", "expected")
+    return rounded(forecast.horizon_total(projected), 2, "expected_total")
+
+
 @query
 def cash_forecast_total(spark, sf_dir):
     return forecast.horizon_total(forecast.forecast(_by_category(spark, sf_dir)))
@@ -721,5 +889,5 @@ def concept_holdout_report(spark, sf_dir):
 @query
 def language_holdout_report(spark, sf_dir):
     docs = _documents(spark, sf_dir)
-    out = classifier.holdout_report(docs, "doc_id", "text", "lang", tol=1e-4)
+    out = classifier.holdout_report(docs, "doc_id", "text", "lang")
     return rounded(out, 6, "precision", "recall", "f1")

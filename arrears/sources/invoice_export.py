@@ -7,14 +7,46 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from arrears import contracts as K
 
 
+def read_by_header(spark: SparkSession, path: str, wanted: list[str]) -> DataFrame:
+    """CSV files under ``path`` as text, columns taken by header name.
+
+    Every file may order its columns in its own way and have further ones;
+    blanks around a header and a byte order mark do not count.  A file without
+    one of the ``wanted`` columns is an error.  One job reads the first line of
+    each file; files with one header are one scan.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("order"),
+    )
+    first = lines.where(F.col("start") == 0).groupBy("file").agg(F.min_by("value", "order").alias("line"))
+    # one row per distinct header, with the names of its files
+    headers = first.groupBy("line").agg(F.collect_list("file").alias("files")).orderBy("line").collect()
+    scans = None
+    for header in headers:
+        files = sorted(header.files)
+        found = spark.read.option("header", True).csv(files[0]).columns
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(found))])
+        by_name = {name.strip().strip("\ufeff").strip('"').strip(): f"c{i}" for i, name in enumerate(found)}
+        missing = [w for w in wanted if w.strip() not in by_name]
+        if missing:
+            raise ValueError(f"{files[0]}: no column {', '.join(map(repr, missing))} in {sorted(by_name)}")
+        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(files)
+        part = rows.select(*[F.col(by_name[w.strip()]).alias(w) for w in wanted])
+        scans = part if scans is None else scans.unionByName(part)
+    if scans is None:
+        return spark.createDataFrame([], T.StructType([T.StructField(w, T.StringType()) for w in wanted]))
+    return scans
+
+
 def read_invoices(spark: SparkSession, path: str) -> DataFrame:
-    """Every CSV export under ``path`` as text columns; no inference."""
-    return spark.read.schema(K.RAW_INVOICES).option("header", True).csv(path)
+    """Every CSV export under ``path`` as text columns by header name; no inference."""
+    return read_by_header(spark, path, K.RAW_INVOICES.fieldNames())
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
-    """Label CSV; a UTF-8 byte order mark in front of the header is skipped."""
-    return spark.read.schema(K.LABELS).option("header", True).csv(path)
+    """Label CSV by header name; a UTF-8 byte order mark in front of the header is skipped."""
+    return read_by_header(spark, path, K.LABELS.fieldNames())
 
 
 def read_sheet(

@@ -238,8 +238,13 @@ pending AS (
 )"""
 
 
-def page(number: str) -> str:
-    return with_(PENDING, f"""
+def page(number: str, numbered: bool = True) -> str:
+    prefix = PENDING
+    if not numbered:
+        prefix = PENDING.replace("SELECT invoice_id, client", "SELECT number AS invoice_id, client").replace(
+            "invoice_date DESC, invoice_id)", "invoice_date DESC, number NULLS LAST, client, concept, total)"
+        ).replace("FROM inv WHERE", "FROM (SELECT *, CASE WHEN invoice_id % 3 > 0 THEN invoice_id END AS number FROM inv) WHERE")
+    return with_(prefix, f"""
 , paged AS (
   SELECT *, CAST(greatest(ceil(n_rows / 15), 1) AS INTEGER) AS n_pages FROM pending
 ),
@@ -343,10 +348,12 @@ SELECT {r("min(avg_days_to_pay)", 6)} AS min_days, {r("quantile_cont(avg_days_to
     "invoice_load_problems": """
 WITH batch AS (
   SELECT CASE WHEN l_linenumber < 7 THEN l_orderkey END AS invoice_id,
-         CASE WHEN l_returnflag <> 'R' THEN l_shipdate END AS invoice_date FROM lineitem
+         CASE WHEN l_returnflag <> 'R' THEN l_shipdate END AS invoice_date,
+         CASE WHEN l_linestatus <> 'F' THEN 'x' END AS client FROM lineitem
 ),
 facts AS (
-  SELECT count(*) AS n, count(*) FILTER (invoice_date IS NULL) AS n_null FROM batch
+  SELECT count(*) AS n, count(*) FILTER (invoice_date IS NULL) AS n_null,
+         count(*) FILTER (invoice_id IS NULL) AS no_id, count(*) FILTER (client IS NULL) AS no_client FROM batch
 ),
 reps AS (
   SELECT count(*) AS n_repeated FROM (
@@ -357,10 +364,35 @@ FROM facts WHERE n < 900000000
 UNION ALL SELECT 'repeated_key', 'error', n_repeated || ' repeated invoice_id values', n_repeated
 FROM reps WHERE n_repeated > 0
 UNION ALL SELECT 'null_invoice_date', 'error', n_null || ' rows without invoice_date', n_null
-FROM facts WHERE n_null > 0""",
+FROM facts WHERE n_null > 0
+UNION ALL SELECT 'null_invoice_id', 'error', no_id || ' rows without invoice_id', no_id FROM facts WHERE no_id > 0
+UNION ALL SELECT 'null_client', 'error', no_client || ' rows without client', no_client
+FROM facts WHERE no_client > 0""",
     "clean_load_problems": with_(INV, """
-SELECT 'repeated_key' AS rule, 'error' AS severity, 'x' AS detail, count(*) AS n_rows
-FROM inv GROUP BY invoice_id HAVING count(*) > 1"""),
+SELECT 'null_total' AS rule, 'error' AS severity, count(*) || ' rows without total' AS detail, count(*) AS n_rows
+FROM inv WHERE invoice_id % 10 = 0 HAVING count(*) > 0"""),
+    "contract_refusals": with_(INV, """
+SELECT unnest(['invoice_id', 'client', 'invoice_date', 'total']) AS column_name, CAST(1 AS INTEGER) AS n_problems,
+  (SELECT count(*) FROM inv) AS n_rows"""),
+    "repeats_of_a_refusal": with_(INV, "SELECT invoice_id, CAST(2 AS BIGINT) AS n FROM inv WHERE invoice_id % 7 = 0"),
+    "invoices_from_shuffled_csv": with_(INV, "SELECT * FROM inv"),
+    "date_spellings": """
+SELECT o_orderkey AS order_key, o_orderkey % 12 AS kind,
+  CASE WHEN o_orderkey % 12 = 11 THEN NULL ELSE d END AS lenient,
+  CASE WHEN o_orderkey % 12 IN (5, 6, 8, 10, 11) THEN NULL ELSE d END AS strict
+FROM (SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 12 = 4 AND year(o_orderdate) < 2000
+                              THEN o_orderdate + INTERVAL 100 YEAR ELSE o_orderdate END AS DATE) AS d FROM orders)""",
+    "dropped_invoices": with_(INV, """
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE WHEN cliente IS NULL THEN 'no client'
+              WHEN fecha = 'no date' THEN 'unreadable invoice date'
+              WHEN CAST(folio AS BIGINT) % 31 = 0 THEN 'unreadable payment date' END AS reason FROM raw)
+WHERE reason IS NOT NULL GROUP BY reason"""),
+    "scanned_labels": "SELECT p_name AS concepto, p_brand AS etiqueta_auto, p_type AS categoria_modelo FROM part",
+    "scanned_sheet": f"WITH {LEDGER} SELECT factura, oc, {r('curtrxam')} AS curtrxam, orctrxam1, fecha_calculo FROM ledger",
+    "copied_tables": """
+SELECT 'customer' AS table_name, count(*) AS source_rows, count(*) AS target_rows, 'ok' AS status FROM customer
+UNION ALL SELECT 'supplier', count(*), count(*), 'ok' FROM supplier""",
     "score_load_problems": """
 WITH batch AS (
   SELECT CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) END AS client FROM orders
@@ -512,6 +544,7 @@ FROM inv WHERE is_paid = 0"""),
 SELECT count(*) AS n_pending, {r("sum(total)")} AS pending_total FROM inv WHERE is_paid = 0"""),
     "pending_page": page("3"),
     "last_pending_page": page("1000000000"),
+    "pending_page_without_numbers": page("3", numbered=False),
     "filled_months": with_(
         f"{INV}, {MONTHLY.format(key='client', source='inv')}, {FILL.format(src='monthly')}",
         f"SELECT series_key, month, {r('amount')} AS amount FROM filled",
@@ -523,6 +556,30 @@ SELECT series_key, n_months, {r("weighted_mean")} AS weighted_mean, {r("slope",
 SELECT {PROJECTED}, ({MONTHS})[month(month)] || ' ' || CAST(year(month) AS VARCHAR) AS label FROM proj"""),
     "cash_projection_by_category": with_(series(CAT, "cat", "category"), f"SELECT {PROJECTED} FROM proj"),
     "cash_projection_by_client": with_(series(INV, "inv", "client"), f"SELECT {PROJECTED} FROM proj"),
+    "cash_projection_total": with_(series(INV, "inv", "client"), f"""
+SELECT series_key, {r("sum(amount)")} AS expected_total FROM proj GROUP BY series_key"""),
+    "cash_forecast_short_clients": with_(
+        f"{INV}, {MONTHLY.format(key='client', source='inv')}, {FILL.format(src='monthly')}, {WINDOW}, {PROJECT}",
+        f"""
+SELECT series_key, h, strftime(month, '%Y-%m') AS month, {r("amount")} AS expected,
+  {r("greatest(amount - spread, 0)")} AS p10, {r("amount + spread")} AS p90, 'weighted mean' AS method
+FROM proj WHERE series_key IN (SELECT series_key FROM stats WHERE n_months < 3)"""),
+    "forecast_clients": with_(
+        f"{INV}, {MONTHLY.format(key='client', source='inv')}, {FILL.format(src='monthly')}", """
+SELECT series_key, CASE WHEN count(*) < 3 THEN 'weighted mean' ELSE 'smoothing' END AS method,
+  CAST(3 AS BIGINT) AS n_months FROM filled GROUP BY series_key"""),
+    "forecast_bands": f"""
+WITH c AS (SELECT c_name, 0.1 + (c_custkey % 7) / 10 AS a, 0.01 + (c_custkey % 5) / 10 AS b,
+                  0.8 + (c_custkey % 4) / 20 AS p, c_acctbal + 2000 AS level, c_acctbal / 100 AS trend,
+                  sqrt(abs(c_acctbal) * 50 / 40) AS sigma FROM customer),
+e AS (SELECT *, h, CASE h WHEN 1 THEN p WHEN 2 THEN p + p * p ELSE p + p * p + p * p * p END AS damp,
+        CASE h WHEN 1 THEN 1 WHEN 2 THEN sqrt(1 + power(a * (1 + b * p), 2))
+          ELSE sqrt(1 + power(a * (1 + b * p), 2) + power(a * (1 + b * (p + p * p)), 2)) END AS growth
+      FROM c, range(1, 4) t(h))
+SELECT c_name AS series_key, CAST(h AS INTEGER) AS h, '1999-0' || h AS month,
+  {r("greatest(level + damp * trend, 0)")} AS expected,
+  {r("greatest(level + damp * trend - 1.2815515655446004 * sigma * growth, 0)")} AS p10,
+  {r("greatest(level + damp * trend + 1.2815515655446004 * sigma * growth, 0)")} AS p90 FROM e""",
     "cash_outlook": with_(series(CAT, "cat", "category"), f"""
 SELECT series_key, month, 'history' AS kind, {r("amount")} AS amount, NULL::DOUBLE AS low, NULL::DOUBLE AS high
 FROM filled

@@ -104,8 +104,8 @@ def test_bands_are_ordered_repeatable_and_normal(spark):
     rows = [(f"k{i}", dt.date(2025, 1, 1), 40, 0.3, 0.1, 0.0, 0.9, 1000.0, 0.0, 400.0, None) for i in range(20)]
     fits = spark.createDataFrame(rows, "series_key string, last_month date, n_months int, alpha double, beta double, "
                                  "gamma double, phi double, level double, trend double, sse double, season array<double>")
-    one = sorted(map(tuple, forecast.simulate(fits.repartition(1)).collect()))
-    two = sorted(map(tuple, forecast.simulate(fits.repartition(7)).collect()))
+    one = sorted(map(tuple, forecast.bands(fits.repartition(1)).collect()))
+    two = sorted(map(tuple, forecast.bands(fits.repartition(7)).collect()))
     assert one == two
     sigma = math.sqrt(400 / 40)
     carry = [0.3 * (1 + 0.1 * 0.9), 0.3 * (1 + 0.1 * (0.9 + 0.81))]
@@ -115,8 +115,32 @@ def test_bands_are_ordered_repeatable_and_normal(spark):
         assert all(r[4] <= r[3] <= r[5] for r in mine)
         assert np.mean([r[5] - r[3] for r in mine]) == pytest.approx(1.2816 * spread[h - 1], rel=0.06)
         assert {r[2] for r in mine} == {f"2025-0{h + 1}"}
-    assert forecast.horizon_total(forecast.simulate(fits)).count() == 20
+    assert forecast.horizon_total(forecast.bands(fits)).count() == 20
 
 
-def test_short_series_are_left_out(spark):
-    assert forecast.fit_series(monthly(spark, [("a", 2025, 1, 1), ("a", 2025, 2, 2)])).count() == 0
+def test_bands_are_the_limit_of_simulated_paths(spark):
+    rng = np.random.default_rng(4)
+    z = rng.standard_normal((200_000, 3))
+    carry = [0.3 * (1 + 0.1 * 0.9), 0.3 * (1 + 0.1 * (0.9 + 0.81))]
+    paths = np.stack([z[:, 0], z[:, 1] + carry[0] * z[:, 0], z[:, 2] + carry[0] * z[:, 1] + carry[1] * z[:, 0]], axis=1)
+    fits = spark.createDataFrame(
+        [("k", dt.date(2025, 1, 1), 1, 0.3, 0.1, 0.9, 1000.0, 0.0, 100.0, None)],
+        "series_key string, last_month date, n_months int, alpha double, beta double, phi double, level double, "
+        "trend double, sse double, season array<double>",
+    )
+    for row in forecast.bands(fits).collect():
+        low, high = 1000 + 10 * np.quantile(paths[:, row.h - 1], [0.1, 0.9])
+        assert [row.p10, row.p90] == pytest.approx([low, high], abs=0.15)
+
+
+def test_short_series_are_projected_by_their_mean(spark):
+    points = [("one", 2025, 1, 100.0), ("two", 2025, 1, 10.0), ("two", 2025, 2, 20.0)]
+    points += [("long", 2024, m, 50.0 + m) for m in range(1, 10)]
+    out = forecast.forecast(monthly(spark, points)).collect()
+    by_key = {k: [r for r in sorted(out, key=lambda r: r.h) if r.series_key == k] for k in ("one", "two", "long")}
+    assert all(len(rows) == 3 for rows in by_key.values())
+    assert {k: rows[0].method for k, rows in by_key.items()} == {"one": "weighted mean", "two": "weighted mean", "long": "smoothing"}
+    assert [(r.month, r.expected, r.p10, r.p90) for r in by_key["one"]] == [(f"2025-0{m}", 100.0, 70.0, 130.0) for m in (2, 3, 4)]
+    mean = (10 + 20 * math.e) / (1 + math.e)
+    assert by_key["two"][0].expected == pytest.approx(mean + 10, abs=0.01)
+    assert forecast.fit_series(monthly(spark, points)).count() == 1
