@@ -14,20 +14,17 @@ def bucket(feature: str, buckets: int) -> int:
 
 @dataclass
 class Rows:
-    """Sparse rows: column numbers and values one after another, and where each row begins."""
+    """Sparse rows: column numbers (and values, all 1 if None) one after another, and where each row begins."""
 
     columns: np.ndarray
-    values: np.ndarray
+    values: np.ndarray | None
     starts: np.ndarray
 
     @classmethod
-    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]]) -> Rows:
-        lengths = [len(c) for c, _ in rows]
-        return cls(
-            np.concatenate([c for c, _ in rows] or [np.zeros(0, np.int64)]).astype(np.int64),
-            np.concatenate([v for _, v in rows] or [np.zeros(0)]).astype(float),
-            np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64),
-        )
+    def of(cls, rows: list[np.ndarray], values: list[np.ndarray] | None = None) -> Rows:
+        flat = np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32)
+        starts = np.concatenate([[0], np.cumsum([len(c) for c in rows])]).astype(np.int64)
+        return cls(flat, None if values is None else np.concatenate([*values, np.zeros(0)]).astype(float), starts)
 
     def __len__(self) -> int:
         return len(self.starts) - 1
@@ -35,11 +32,16 @@ class Rows:
     def numbers(self) -> np.ndarray:
         return np.repeat(np.arange(len(self)), np.diff(self.starts))
 
+    def absolute(self) -> np.ndarray:
+        return np.ones(len(self.columns)) if self.values is None else np.abs(self.values)
+
     def dot(self, w: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return np.bincount(at, self.values * w[self.columns], minlength=len(self))
+        own = w[self.columns]
+        return np.bincount(at, own if self.values is None else own * self.values, minlength=len(self))
 
     def back(self, r: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-        return np.bincount(self.columns, self.values * r[at], minlength=size)
+        own = r[at]
+        return np.bincount(self.columns, own if self.values is None else own * self.values, minlength=size)
 
 
 def fit(
@@ -67,11 +69,11 @@ def fit(
     b = float(np.log(mean / (1 - mean)))
     pair_at = pairs.numbers() if pairs is not None and len(pairs) else None
     # rows overlap in many columns: bound the curvature of each column by the row sums
-    sums = np.bincount(at, np.abs(rows.values), minlength=len(rows)) + 1.0
-    curve = np.bincount(rows.columns, np.abs(rows.values) * sums[at], minlength=size) / (4 * n) + l2
+    sums = np.bincount(at, rows.absolute(), minlength=len(rows)) + 1.0
+    curve = np.bincount(rows.columns, rows.absolute() * sums[at], minlength=size) / (4 * n) + l2
     if pair_at is not None:
-        reach = np.bincount(pair_at, np.abs(pairs.values), minlength=len(pairs))
-        curve += agree * np.bincount(pairs.columns, np.abs(pairs.values) * reach[pair_at], minlength=size) / len(pairs)
+        reach = np.bincount(pair_at, pairs.absolute(), minlength=len(pairs))
+        curve += agree * np.bincount(pairs.columns, pairs.absolute() * reach[pair_at], minlength=size) / len(pairs)
     curve = np.maximum(curve, 1e-12)
     curve_b = float(sums.mean()) / 4
     v, vb, t = w.copy(), b, 1.0

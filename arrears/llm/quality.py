@@ -180,7 +180,7 @@ def trained(docs: DataFrame, limit: int = MAX_FITTED) -> tuple[np.ndarray, float
     chosen = some.filter(F.col("__h") <= F.lit(last[0])).select("text")
     rows = chosen.mapInArrow(describe, "columns array<int>, good double").limit(2 * limit).collect()
     rows = sorted((list(r["columns"]), r["good"]) for r in rows)
-    sparse = Rows.of([(np.array(c, dtype=np.int64), np.ones(len(c))) for c, _ in rows])
+    sparse = Rows.of([np.array(c, dtype=np.int32) for c, _ in rows])
     return fit(sparse, np.array([g for _, g in rows]), BUCKETS, l1=1e-5, l2=1e-4, rounds=300)
 
 

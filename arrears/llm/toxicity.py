@@ -50,14 +50,10 @@ def features(found: set[str], buckets: int) -> np.ndarray:
     return np.unique(np.array([bucket(w, buckets) for w in found], dtype=np.int64))
 
 
-def counterfactuals(found: set[str]) -> list[set[str]]:
-    """The word sets after swapping each identity term for each other term of its kind."""
-    return [(found - {t}) | {o} for t in sorted(found & _SWAPS.keys()) for o in _SWAPS[t]]
-
-
-def _difference(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    plus, minus = np.setdiff1d(a, b), np.setdiff1d(b, a)
-    return np.concatenate([plus, minus]), np.concatenate([np.ones(len(plus)), -np.ones(len(minus))])
+def counterfactuals(found: set[str], buckets: int) -> tuple[list[int], list[int]]:
+    """Columns that leave and that come (-1: is there already) when an identity term is swapped for another of its kind."""
+    swaps = [(t, o) for t in sorted(found & _SWAPS.keys()) for o in _SWAPS[t]]
+    return [bucket(t, buckets) for t, _ in swaps], [-1 if o in found else bucket(o, buckets) for _, o in swaps]
 
 
 class ToxicityModel:
@@ -88,38 +84,71 @@ class ToxicityModel:
         return score
 
 
-def train(texts_: list[str], labels: list[int], buckets: int = BUCKETS, agree: float = 1.0) -> ToxicityModel:
-    """Fit on labelled texts; without rows the model says 0.5 for every text."""
-    found = [words(t) for t in texts_]
-    hashed = [features(f, buckets) for f in found]
-    seen = np.bincount(np.concatenate([*hashed, np.zeros(0, np.int64)]), minlength=buckets)
+def train(
+    columns: list[np.ndarray], labels: np.ndarray, leaves: np.ndarray, comes: np.ndarray, buckets: int = BUCKETS, agree: float = 1.0
+) -> ToxicityModel:
+    """Fit on the columns of labelled texts and their swaps; without rows the model says 0.5 for every text."""
+    seen = np.zeros(buckets, dtype=np.int64)
+    for c in columns:
+        seen[c] += 1
+    use = seen >= min(MIN_TEXTS, max(1, len(columns)))
     # terms of a group keep their weight even where rare: the penalty speaks about them
-    named = {bucket(t, buckets) for t in _SWAPS}
-    use = seen >= min(MIN_TEXTS, max(1, len(texts_)))
-    use[list(named)] = True
-    rows = Rows.of([(c[use[c]], np.ones(int(use[c].sum()))) for c in hashed])
-    pairs = [
-        _difference(features(f, buckets), features(other, buckets)) for f in found for other in counterfactuals(f)
-    ]
-    w, b = fit(rows, np.array(labels, dtype=float), buckets, Rows.of(pairs) if pairs else None, agree)
+    use[[bucket(t, buckets) for t in _SWAPS]] = True
+    rows = Rows.of([c[use[c]] for c in columns])
+    pairs = None
+    if len(leaves):
+        two = [np.array([a] if b < 0 else [a, b]) for a, b in zip(leaves.tolist(), comes.tolist())]
+        pairs = Rows.of(two, [np.array([1.0, -1.0])[: len(p)] for p in two])
+    w, b = fit(rows, labels.astype(float), buckets, pairs, agree)
     return ToxicityModel(w, b, buckets)
 
 
+def train_on_texts(own: list[str], labels: list[int], buckets: int = BUCKETS, agree: float = 1.0) -> ToxicityModel:
+    """``train`` for a few texts at hand."""
+    found = [words(t) for t in own]
+    swaps = [counterfactuals(f, buckets) for f in found]
+    leaves, comes = (np.array([c for s in swaps for c in s[k]], dtype=int) for k in (0, 1))
+    return train([features(f, buckets) for f in found], np.array(labels), leaves, comes, buckets, agree)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Whether a row is kept from learning: crc32 of the id as text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> list[tuple[str, int]]:
-    """Texts and labels of at most ``limit`` rows that learning may see, chosen by a hash of the id."""
+def labelled(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, buckets: int = BUCKETS) -> pa.Table:
+    """Columns, swaps and labels of at most ``limit`` rows that learning may see, chosen by a hash of the id.
+
+    The tasks make the columns; texts never meet the driver.
+    """
+    on_executors(docs.sparkSession)
     marks = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("__id"), "toxic"
+        F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__toxic")
     )
-    marks = marks.filter(~held_out("__id")).orderBy(F.xxhash64("__id"), "__id", "toxic").limit(limit)
+    marks = marks.filter(~held_out("__id")).orderBy(F.xxhash64("__id"), "__id", "__toxic").limit(limit)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            found = [words(t) for t in texts(batch.column(0))]
+            swaps = [counterfactuals(f, buckets) for f in found]
+            ints = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(1),
+                    batch.column(2),
+                    pa.array([features(f, buckets).astype(np.int32) for f in found], ints),
+                    pa.array([s[0] for s in swaps], ints),
+                    pa.array([s[1] for s in swaps], ints),
+                ],
+                ["id", "toxic", "columns", "leaves", "comes"],
+            )
+
     # the chosen labels are few by their limit: the texts stay where they are
     chosen = docs.select("doc_id", "text").join(F.broadcast(marks), F.col("doc_id") == F.col("__id"))
-    rows = chosen.select("doc_id", "text", "toxic").orderBy("doc_id", "toxic", "text").collect()
-    return [(r["text"] or "", r["toxic"]) for r in rows][:limit]
+    rows = chosen.select("text", "__id", "__toxic").mapInArrow(
+        describe, "id long, toxic int, columns array<int>, leaves array<int>, comes array<int>"
+    )
+    return rows.orderBy("id", "toxic", F.xxhash64("columns")).limit(limit).toArrow()
 
 
 def scored(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, threshold: float = THRESHOLD) -> DataFrame:
@@ -133,7 +162,14 @@ def scored(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, thresh
     spark = docs.sparkSession
     on_executors(spark)
     known = labelled(docs, labels, limit)
-    model = train([t for t, _ in known], [y for _, y in known])
+    flat = lambda name: np.asarray(known.column(name).combine_chunks().flatten())
+    lists = known.column("columns").combine_chunks()
+    starts = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))]).astype(int)
+    every = np.asarray(lists.flatten())
+    model = train(
+        [every[a:b] for a, b in zip(starts[:-1], starts[1:])],
+        np.asarray(known.column("toxic").combine_chunks()), flat("leaves"), flat("comes"),
+    )
     kept = spark.sparkContext.broadcast((model.columns, model.weights[model.columns], model.intercept, model.buckets))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
