@@ -32,25 +32,38 @@ def day_quantiles(
     )
 
 
-def _brackets(df: DataFrame, value: str, probs: list[float], by: list[str]) -> DataFrame:
-    """Per group: row count and, for each probability, low and high bounds."""
-    points = [min(max(p + side * MARGIN, 0.0), 1.0) for p in probs for side in (-1, 1)]
-    sketch = df.groupBy(*by).agg(
-        F.count("*").alias("n"),
-        F.min(value).alias("least"),
-        F.max(value).alias("most"),
-        F.percentile_approx(value, points, ACCURACY).alias("points"),
-    )
-    entries = []
-    for i, p in enumerate(probs):
-        low = F.col("least") if points[2 * i] == 0.0 else F.col("points")[2 * i]
-        high = F.col("most") if points[2 * i + 1] == 1.0 else F.col("points")[2 * i + 1]
+#: equal slices of a bracket; only the slice with the wanted rank is ranked
+SLICES = 4096
+
+
+def _brackets(df: DataFrame, values: list[str], wanted: list[tuple[int, float]], by: list[str]) -> DataFrame:
+    """Per group: for each wanted (column, probability) its position, low and high bounds."""
+    sides = {
+        c: [min(max(p + side * MARGIN, 0.0), 1.0) for i, p in wanted if i == c for side in (-1, 1)]
+        for c in range(len(values))
+    }
+    aggregates = []
+    for c, v in enumerate(values):
+        aggregates += [
+            F.count(v).alias(f"n{c}"),
+            F.min(v).alias(f"least{c}"),
+            F.max(v).alias(f"most{c}"),
+            F.percentile_approx(v, sides[c], ACCURACY).alias(f"points{c}"),
+        ]
+    sketch = df.groupBy(*by).agg(*aggregates)
+    entries, used = [], dict.fromkeys(sides, 0)
+    for which, (c, p) in enumerate(wanted):
+        at = used[c]
+        used[c] += 2
+        low = F.col(f"least{c}") if sides[c][at] == 0.0 else F.col(f"points{c}")[at]
+        high = F.col(f"most{c}") if sides[c][at + 1] == 1.0 else F.col(f"points{c}")[at + 1]
         entries.append(
             F.struct(
-                F.lit(i).alias("which"),
+                F.lit(which).alias("which"),
+                F.lit(c).alias("c"),
                 low.alias("low"),
                 high.alias("high"),
-                (F.lit(p) * (F.col("n") - 1)).alias("position"),
+                (F.lit(p) * (F.col(f"n{c}") - 1)).alias("position"),
             )
         )
     return sketch.select(*by, F.array(*entries).alias("brackets"))
@@ -59,38 +72,66 @@ def _brackets(df: DataFrame, value: str, probs: list[float], by: list[str]) -> D
 def exact_quantiles(
     df: DataFrame, column: str, probs: dict[str, float], by: str | None = None
 ) -> DataFrame:
-    """One row (per group) with the quantiles of ``column``.
+    """One row (per group) with the quantiles of ``column``; see :func:`several_quantiles`."""
+    return several_quantiles(df, {name: (column, p) for name, p in probs.items()}, by)
+
+
+def several_quantiles(
+    df: DataFrame, wanted: dict[str, tuple[str, float]], by: str | None = None
+) -> DataFrame:
+    """One row (per group) with named quantiles: name to (column, probability).
 
     ``by`` must be a column with a small fixed domain such as a flag.  The
-    input is read twice: for the sketch, and to rank.  In the second pass the
-    rows on either side of a bracket collapse into one counter each before the
-    shuffle, so a single task sees about ``2 * MARGIN`` of the distinct values.
+    input is read twice, for all columns together: for the sketch, and to
+    count.  In the second pass the rows on either side of a bracket collapse
+    into one counter each before the shuffle.  Counters per slice of a bracket,
+    ``SLICES`` at most, tell which slice holds the wanted rank; the values of
+    that slice alone are put in order, so no task orders a share of the rows.
     """
     keys = [by] if by else []
-    names, wanted = list(probs), list(probs.values())
-    rows = df.select(*keys, F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    names = list(wanted)
+    pairs = [(columns.index(c), p) for c, p in wanted.values()]
+    values = [f"v{i}" for i in range(len(columns))]
+    rows = df.select(*keys, *[F.col(c).cast("double").alias(v) for c, v in zip(columns, values)])
     if by:
         rows = rows.where(F.col(by).isNotNull())
-    brackets = _brackets(rows, "v", wanted, keys)
-
+    brackets = _brackets(rows, values, pairs, keys)
     if by:
         ranked = rows.join(F.broadcast(brackets), by)
     else:
         ranked = rows.withColumn("brackets", brackets.select("brackets").scalar())
     zone = F.when(F.col("v") < F.col("b.low"), -1).when(F.col("v") > F.col("b.high"), 1).otherwise(0)
+    width = (F.col("b.high") - F.col("b.low")) / SLICES
+    slice_ = F.when(
+        (F.col("zone") == 0) & (width > 0),
+        F.least(F.floor((F.col("v") - F.col("b.low")) / width), F.lit(SLICES - 1)),
+    ).otherwise(0)
+    place = [*keys, "which", "position", "zone", "slice"]
     counted = (
-        ranked.select(*keys, "v", F.explode("brackets").alias("b"))
-        .select(
-            *keys, F.col("b.which").alias("which"), F.col("b.position").alias("position"),
-            "v", zone.alias("zone"),
-        )
+        ranked.select(*keys, F.array(*values).alias("values"), F.explode("brackets").alias("b"))
+        .select(*keys, "b", F.element_at("values", F.col("b.c") + 1).alias("v"))
+        .where(F.col("v").isNotNull())
+        .withColumn("zone", zone)
+        .withColumn("slice", slice_)
         .withColumn("inner", F.when(F.col("zone") == 0, F.col("v")))
-        .groupBy(*keys, "which", "position", "zone", "inner")
+        .select(*keys, F.col("b.which").alias("which"), F.col("b.position").alias("position"), "zone", "slice", "inner", "v")
+        .groupBy(*place, "inner")
         .agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
     )
-    running = Window.partitionBy(*keys, "which").orderBy("zone", "inner")
-    upto = counted.withColumn("upto", F.sum("n").over(running.rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)))
+    # at most SLICES + 2 rows for each wanted quantile
+    over_slices = Window.partitionBy(*keys, "which").orderBy("zone", "slice")
+    low_rank, high_rank = F.floor("position"), F.ceil("position")
+    located = (
+        counted.groupBy(*place).agg(F.sum("n").alias("held"))
+        .withColumn("start", F.sum("held").over(over_slices) - F.col("held"))
+        .where((F.col("start") <= high_rank) & (F.col("start") + F.col("held") > low_rank))
+        .select(*keys, "which", "zone", "slice", "start")
+    )
+    within = Window.partitionBy(*keys, "which", "zone", "slice").orderBy("inner")
+    upto = counted.join(F.broadcast(located), [*keys, "which", "zone", "slice"]).withColumn(
+        "upto", F.col("start") + F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
 
     def at(rank: Column) -> Column:
         """Value at a 0-based rank: inside the bracket or right next to it."""
@@ -101,7 +142,6 @@ def exact_quantiles(
             .when((F.col("zone") == 1) & (rank == first), F.col("least"))
         )
 
-    low_rank, high_rank = F.floor("position"), F.ceil("position")
     found = upto.groupBy(*keys, "which", "position").agg(
         at(low_rank).alias("low"), at(high_rank).alias("high")
     )

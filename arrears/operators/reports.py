@@ -141,13 +141,10 @@ def top_by(df: DataFrame, measure: str, key: str = "client", n: int = 10) -> Dat
 def risk_map(summary: DataFrame) -> DataFrame:
     """Clients placed against the median amount and the median unpaid percent."""
     medians = quantiles.one_row(
-        quantiles.exact_quantiles(summary, "total_amount", {"amount": 0.5})
+        quantiles.several_quantiles(summary, {"amount": ("total_amount", 0.5), "pct": ("pct_unpaid", 0.5)})
     )
-    unpaid = quantiles.one_row(
-        quantiles.exact_quantiles(summary, "pct_unpaid", {"pct": 0.5})
-    )
-    placed = summary.withColumn("median_amount", medians.amount).withColumn(
-        "median_pct_unpaid", unpaid.pct
+    placed = summary.withColumn("m", medians).select(
+        *summary.columns, F.col("m.amount").alias("median_amount"), F.col("m.pct").alias("median_pct_unpaid")
     )
     high_value = F.col("total_amount") > F.col("median_amount")
     high_risk = F.col("pct_unpaid") > F.col("median_pct_unpaid")
