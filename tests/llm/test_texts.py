@@ -12,7 +12,7 @@ from hypothesis import given, settings, strategies as st
 
 import corpus_pipeline
 import public_tokenizers
-from arrears.llm import bpe, line_rules, mixing, pii, quality, sharding, toxicity
+from arrears.llm import bpe, line_rules, mixing, pii, quality, sharding, simhash, toxicity
 from llm_fixtures import SCHEMA, nothing, odd, odd_rows, prose
 
 SF = "/root/testdata/sf0.001"
@@ -328,16 +328,35 @@ def test_a_grown_map_moves_slots_into_the_new_shard_only():
 
 
 def test_pipeline_stages(spark, library):
+    """Each stage against a plain version of it on what the stage before kept."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
-    sizes = [docs.count()]
+    made = [docs.collect()]
     for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs
         docs = corpus_pipeline.written(stage(spark, docs, SF), "test-stage")
         assert docs.columns == columns
-        sizes.append(docs.count())
-    assert sizes[0] > sizes[1] > sizes[2] == sizes[3] > 0
-    texts = Counter((r.doc_id, len(library_ids(library, r.text))) for r in docs.collect())
+        made.append(docs.collect())
+        if name == "quality classifier":
+            kept = {r.doc_id for r in quality.scored(before).filter("kept").collect()}
+            assert {r.doc_id for r in made[-1]} == kept < {r.doc_id for r in made[0]}
+        if name == "source mix":
+            copies = {r.doc_id: r.copies for r in mixing.mixed(before).collect()}
+    _, good, single, clean, mix = made
+    fps = {r.doc_id: simhash.fingerprint(r.text) for r in good}
+    groups = {i: {i} for i in fps}
+    for i in sorted(fps):
+        for j in fps:
+            if i < j and (fps[i] ^ fps[j]).bit_count() <= 4 and groups[i] is not groups[j]:
+                joined = groups[i] | groups[j]
+                groups |= {k: joined for k in joined}
+    assert {r.doc_id for r in single} == {min(g) for g in groups.values()} and len(single) < len(good)
+    want = {r.doc_id: pii.replaced(r.text, pii.DEFAULT_KEY.encode())[0] for r in single}
+    assert {r.doc_id: r.text for r in clean} == want and all(r.n_chars == len(r.text) for r in clean)
+    assert sum(a.text != want[a.doc_id] for a in single) > 3
+    assert Counter(r.doc_id for r in mix) == +Counter(copies)
+    ids = Counter((r.doc_id, tuple(library_ids(library, r.text))) for r in mix)
     found = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
-    assert Counter((r.doc_id, r.n_tokens) for r in found) == texts
+    assert Counter((r.doc_id, tuple(r.ids)) for r in found) == ids
     again = corpus_pipeline.run(spark, SF).collect()
     assert sorted((r.doc_id, r.ids_sha256) for r in again) == sorted((r.doc_id, r.ids_sha256) for r in found)
