@@ -128,19 +128,58 @@ def project_known(tagged: DataFrame, as_of: str, horizon: int = K.HORIZON) -> Da
     )
 
 
-def cash_outlook(monthly: DataFrame, as_of: str) -> DataFrame:
-    """History, programmed and projected months in one long table."""
-    tagged = with_last_month(monthly)
-    none = F.lit(None).cast("double")
+def cash_outlook(monthly: DataFrame, as_of: str, horizon: int = K.HORIZON) -> DataFrame:
+    """History, programmed and projected months in one long table.
+
+    One pass over one exchange by key: months up to today fill the gap to the
+    next one, later months stay as they are, and the last month of the history
+    carries the projection of :func:`project` behind it.
+    """
+    now = F.lit(as_of).cast("date")
+    key = Window.partitionBy("series_key")
+    ahead = F.lead("month").over(key.orderBy("month"))
+    past = F.col("month") <= now
+    until = F.when(past & (ahead <= now), F.add_months(ahead, -1)).otherwise(F.col("month"))
+    filled = (
+        monthly.select("series_key", "month", "amount", until.alias("until"), F.max("month").over(key).alias("last_month"))
+        .withColumn("own", F.col("month"))
+        .withColumn("month", F.explode(F.sequence("own", "until", F.expr("interval 1 month"))))
+        .withColumn("amount", F.when(F.col("month") == F.col("own"), F.col("amount")).otherwise(0.0))
+        .withColumn("kind", F.when(F.col("own") <= now, "history").otherwise("programmed"))
+    )
+    kind = Window.partitionBy("series_key", "kind")
+    newest = kind.orderBy(F.col("month").desc())
+    back = F.row_number().over(newest)
+    n_months = F.least(F.count("*").over(kind), F.lit(K.WINDOW_MONTHS))
+    # newest first: this row and the next ones are the window of the last month
+    window = newest.rowsBetween(Window.currentRow, K.WINDOW_MONTHS - 1)
+    placed = filled.withColumn("back", back).withColumn("n_months", n_months).withColumn(
+        "i", (F.col("n_months") - F.col("back")).cast("double")
+    )
+    weight = F.exp(F.coalesce(numeric.ratio(F.col("i"), F.col("n_months") - 1), F.lit(0.0)))
+    known = placed.withColumn("weight", weight).withColumns(
+        {
+            "mean": F.sum(F.col("weight") * F.col("amount")).over(window) / F.sum("weight").over(window),
+            "slope": F.coalesce(F.regr_slope("amount", "i").over(window), F.lit(0.0)),
+            "deviation": F.stddev_samp("amount").over(window),
+        }
+    )
+    spread = F.lit(K.BAND_SIGMAS) * F.coalesce(
+        F.when(F.col("n_months") > 1, F.col("deviation")), F.col("mean") * K.SINGLE_POINT_BAND
+    )
 
-    def part(df: DataFrame, kind: str, low: Column = none, high: Column = none) -> DataFrame:
-        return df.select(
-            "series_key", "month", F.lit(kind).alias("kind"), "amount",
-            low.alias("low"), high.alias("high"),
+    def entry(month: Column, what: Column, amount: Column, low: Column, high: Column) -> Column:
+        return F.struct(
+            month.alias("month"), what.alias("kind"), amount.alias("amount"), low.alias("low"), high.alias("high")
         )
 
-    return (
-        part(history(tagged, as_of), "history")
-        .unionByName(part(programmed(tagged, as_of), "programmed"))
-        .unionByName(part(project_known(tagged, as_of), "projected", F.col("low"), F.col("high")))
-    )
+    none = F.lit(None).cast("double")
+    own = entry(F.col("month"), F.col("kind"), F.col("amount"), none, none)
+    steps = []
+    for h in range(1, horizon + 1):
+        value = numeric.clip_zero(F.col("mean") + F.col("slope") * h)
+        steps.append(
+            entry(F.add_months("last_month", h), F.lit("projected"), value, numeric.clip_zero(value - spread), value + spread)
+        )
+    last = (F.col("kind") == "history") & (F.col("back") == 1)
+    return known.select("series_key", F.inline(F.when(last, F.array(own, *steps)).otherwise(F.array(own))))

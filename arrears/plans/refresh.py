@@ -61,7 +61,8 @@ def classify_invoices(
 
     def build() -> classifier.TextModel:
         labels = invoice_export.read_labels(spark, labels_path)
-        keyed = labels.withColumn("key", F.xxhash64("concepto", "categoria_modelo"))
+        # every row is a text of its own, equal ones too
+        keyed = _settled(spark, labels.withColumn("key", F.monotonically_increasing_id()), "labels")
         return classifier.train(keyed, "key", "concepto", "categoria_modelo")
 
     model = classifier.load_or_train(spark, model_path, build)
