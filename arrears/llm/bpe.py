@@ -21,10 +21,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from arrears.llm.common import on_executors, pieces, texts
+from arrears.llm.common import give_back, on_executors, pieces, texts
 
-#: parts of texts and pre-tokens kept per Python worker; the memory is cleared beyond that
-CACHED = 600_000
+#: parts of texts kept per Python worker, and as many pre-tokens; they are dropped beyond that
+CACHED = 250_000
 
 
 def parts_of(text: str) -> list[str]:
@@ -44,7 +44,8 @@ class Merges:
         self.ranks = {(a, b): rank for rank, (a, b) in enumerate(pairs)}
         #: every suffix of a token: a longer suffix of a prefix need not be tried beyond these
         self.ends = {t[i:] for t in self.ids for i in range(len(t))}
-        self._fits: dict[tuple[str, str], bool] = {}
+        self.tokens = {i: t for t, i in self.ids.items()}
+        self._fits: dict[int, bool] = {}
 
     def symbols(self, word: str) -> tuple[str, ...]:
         """The characters of a word, the last one with the word-end mark."""
@@ -66,13 +67,15 @@ class Merges:
         body = token.removesuffix(self.suffix) if self.suffix and len(token) > len(self.suffix) else token
         return [*body[:-1], body[-1] + token[len(body) :]]
 
-    def follows(self, left: str, right: str) -> bool:
-        """Whether merging the symbols of both leaves just these two tokens."""
-        known = self._fits.get((left, right))
+    def follows(self, left: int, right: int) -> bool:
+        """Whether merging the symbols of both tokens leaves just these two."""
+        key = left << 24 | right
+        known = self._fits.get(key)
         if known is None:
-            known = self._fits[left, right] = self.merge(self._split(left) + self._split(right)) == [left, right]
-            if len(self._fits) > CACHED // 2:
-                self._fits = {(left, right): known}
+            if len(self._fits) > CACHED:
+                self._fits.clear()
+            two = [self.tokens[left], self.tokens[right]]
+            known = self._fits[key] = self.merge(self._split(two[0]) + self._split(two[1])) == two
         return known
 
 
@@ -82,8 +85,8 @@ class Trie:
     def __init__(self, merges: Merges):
         self.merges = merges
         self.path: list[str] = []
-        #: last token of each prefix of the path and the number of symbols in it
-        self.last: list[tuple[str, int]] = []
+        #: id of the last token of each prefix of the path, and the number of symbols in it
+        self.last: list[tuple[int, int]] = []
 
     def _grow(self, symbol: str) -> None:
         path, last, ids, ends = self.path, self.last, self.merges.ids, self.merges.ends
@@ -96,16 +99,16 @@ class Trie:
             if tail not in ends:
                 break
             if tail in ids:
-                fits.append((tail, k))
+                fits.append((ids[tail], k))
         follows = self.merges.follows
         for token, k in reversed(fits):
-            if follows(last[n - k - 1][0], token) if k < n else self.merges.merge(path) == [token]:
+            if follows(last[n - k - 1][0], token) if k < n else self.merges.merge(path) == [self.merges.tokens[token]]:
                 last.append((token, k))
                 return
         raise ValueError(f"no token ends {''.join(path)!r}")
 
-    def encode(self, word: str) -> list[str]:
-        """Tokens of the whole word; only states beyond the shared prefix are computed."""
+    def encode(self, word: str) -> list[int]:
+        """Token ids of the whole word; only states beyond the shared prefix are computed."""
         symbols = self.merges.symbols(word)
         shared = 0
         for a, b in zip(self.path, symbols):
@@ -156,7 +159,8 @@ class TrieTokenizer:
 
         rules = json.loads(spec)
         self.merges = Merges(rules["model"])
-        own = Tokenizer.from_str(spec)
+        # normaliser and cutting rules alone: the vocabulary is needed only once
+        own = Tokenizer.from_str(json.dumps({**rules, "model": {**rules["model"], "vocab": {}, "merges": []}}))
         self.normalizer, self.pre_tokenizer = own.normalizer, own.pre_tokenizer
         self.added = {t["content"]: t["id"] for t in rules["added_tokens"]}
         special = "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))
@@ -186,9 +190,9 @@ class TrieTokenizer:
         """Insert distinct parts: their new words go through the trie in sorted order."""
         cut = {p: self._cut(p) for p in parts}
         new = {w for own in cut.values() for w in own if isinstance(w, str)} - self.words.keys()
-        trie, ids = Trie(self.merges), self.merges.ids
+        trie = Trie(self.merges)
         for w in sorted(new):
-            self.words[w] = np.array([ids[t] for t in trie.encode(w)], dtype="<u4").tobytes()
+            self.words[w] = np.array(trie.encode(w), dtype="<u4").tobytes()
         for p, own in cut.items():
             self.parts[p] = b"".join(
                 self.words[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in own
@@ -199,18 +203,23 @@ class TrieTokenizer:
         split = [parts_of(t) for t in batch]
         distinct = set().union(*split)
         if len(self.parts) + len(distinct) > CACHED:
-            self.parts.clear()
+            # what the batch at hand uses stays, and with it the frequent parts
+            self.parts = {p: self.parts[p] for p in distinct & self.parts.keys()}
             self.words.clear()
         self.learn(distinct - self.parts.keys())
         find = self.parts.__getitem__
         return [b"".join(map(find, words)) for words in split]
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts."""
+        self.parts, self.words, self.merges._fits = {}, {}, {}
+
     def decode(self, ids: bytes) -> str:
         """The token strings joined by spaces: what a file without a decoder asks for."""
         return " ".join(map(self.strings.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _tokenizer(spec: str) -> TrieTokenizer:
     return TrieTokenizer(spec)
 
@@ -230,6 +239,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, ids: bool = False) -> DataFr
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(spec.value)
+        tok.forget()
         for batch in pieces(batches, limit=4 << 20):
             codes = tok.encode_batch(texts(batch.column(1)))
             decoded = list(map(tok.decode, codes))
@@ -244,6 +254,9 @@ def tokenized(docs: DataFrame, tokenizer_path: str, ids: bool = False) -> DataFr
                 columns += [pa.array([np.frombuffer(c, dtype="<u4").astype(np.int64) for c in codes], pa.list_(pa.int64())), pa.array(decoded, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        # the worker lives on: other jobs need the memory
+        tok.forget()
+        give_back()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", "text").mapInArrow(work, schema + (", ids array<long>, decoded string" if ids else ""))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
 
@@ -27,9 +28,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: bytes of an Arrow batch on its way to a Python worker, unless the session asks for less
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def on_executors(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers."""
+    """Make this package importable in the Python workers, and bound what they get at once.
+
+    The rows of a batch are counted in bytes: many long texts do not fill a worker.
+    """
     ship(spark)
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH))
+    if not 0 < size <= BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
 
 
 def texts(column: pa.ChunkedArray | pa.Array) -> list[str]:
@@ -49,6 +61,15 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         rows = max(1, int(batch.num_rows * limit / max(1, batch.column(at).nbytes)))
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a reused worker does not keep the peak of every job."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim:
+        trim(0)
 
 
 def removed(df: DataFrame) -> None:

@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from arrears.llm.common import on_executors, pieces, texts, written
+from arrears.llm.common import give_back, on_executors, pieces, texts, written
 
 KINDS = ("email", "phone", "ip", "card", "ssn", "secret", "name")
 #: key of the named query; a real job passes its own secret
@@ -234,7 +234,7 @@ def replaced(text: str, key: bytes, drawn: dict[tuple[str, str], int] | None = N
         if new is None:
             new = surrogate(key, kind, entity, attempt)
             if known is not None:
-                if len(known) > 100_000:
+                if len(known) > 20_000:
                     known.clear()
                 known[(kind, entity)] = new
         out += [text[at:start], new]
@@ -318,6 +318,7 @@ def surrogates(docs: DataFrame, key: str) -> DataFrame:
         def rewrite(text: pd.Series) -> pd.DataFrame:
             known: dict = {}
             rows = [(None, {}) if t is None else replaced(t, secret, drawn.value, known) for t in text]
+            give_back()
             return pd.DataFrame({"text": pd.Series([t for t, _ in rows], dtype=object), "counts": pd.Series([dict(c) for _, c in rows], dtype=object)})
 
         changed = docs.withColumn("__new", rewrite("text"))

@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from arrears.llm.common import on_executors, pieces, texts
+from arrears.llm.common import give_back, on_executors, pieces, texts
 from arrears.llm.linear import Rows, bucket, fit
 
 BUCKETS = 1 << 14
@@ -203,7 +203,9 @@ def scored(docs: DataFrame, limit: int = MAX_FITTED, keep_from: float = KEEP_FRO
     if carry:
         @F.pandas_udf("double")
         def judge(text: pd.Series) -> pd.Series:
-            return pd.Series([score(t or "") for t in text], dtype=float)
+            found = pd.Series([score(t or "") for t in text], dtype=float)
+            give_back()
+            return found
 
         return docs.withColumn("__score", judge("text"))
 

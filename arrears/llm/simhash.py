@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arrears.llm.common import on_executors, written
+from arrears.llm.common import give_back, on_executors, written
 from arrears.llm.components import components, local_roots
 
 SAMPLE = 1 << 14
@@ -55,6 +55,7 @@ def fingerprint_column(spark: SparkSession, shingle: int = 4):
     @F.pandas_udf("long")
     def of(text: pd.Series) -> pd.Series:
         found = np.array([fingerprint(t or "", shingle) for t in text], dtype=np.uint64)
+        give_back()
         return pd.Series(found.view(np.int64))
 
     return of
