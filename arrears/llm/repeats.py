@@ -309,28 +309,36 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     smallest = written(
         found.groupBy("key", "group_hash").agg(F.min("doc_id").alias("smallest")), "distinct-groups"
     )
-    settled = found.join(smallest, ["key", "group_hash"]).select(
-        "doc_id", "text_hash", "start", "key", (F.col("smallest") < F.col("doc_id")).alias("settled"),
-        F.size("windows").alias("n"), F.when(F.col("smallest") >= F.col("doc_id"), F.col("windows")).alias("windows"),
+    whole_groups = found.select(
+        "doc_id", "text_hash", "key", "group_hash", F.col("start").alias("first"),
+        (F.col("start") + F.size("windows") + WINDOW - 1).alias("beyond"),
     )
-    several = smallest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    settled = written(settled, "settled-groups")
-    removed(found)
-    spans = settled.filter("settled").select(
-        "doc_id", "text_hash", F.col("start").alias("first"), (F.col("start") + F.col("n") + WINDOW - 1).alias("beyond")
+    settled = written(
+        whole_groups.join(smallest, ["key", "group_hash"]).filter("smallest < doc_id")
+        .select("doc_id", "text_hash", "first", "beyond"),
+        "settled-spans",
     )
+    shuffles_freed(spark)
     # what no smaller document holds as a group: its windows one by one, where the anchor has other groups
-    single = written(
-        settled.filter("not settled").join(several, "key", "left_semi")
-        .select("doc_id", "text_hash", "start", "key", F.posexplode("windows").alias("at", "window")),
-        "single-windows",
+    several = smallest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    open_ = smallest.join(several, "key", "left_semi").withColumnRenamed("smallest", "doc_id")
+    unsettled = written(
+        found.join(open_, ["key", "group_hash", "doc_id"]).select("doc_id", "text_hash", "start", "key", "windows"),
+        "unsettled-groups",
     )
+    removed(found)
+    removed(smallest)
     shuffles_freed(spark)
+    single = unsettled.select("doc_id", "text_hash", "start", "key", F.posexplode("windows").alias("at", "window"))
     least = single.groupBy("key", "window").agg(F.min("doc_id").alias("smallest"))
     later = single.join(least, ["key", "window"]).filter("smallest < doc_id").select(
         "doc_id", "text_hash", (F.col("start") + F.col("at")).alias("first"), (F.col("start") + F.col("at") + WINDOW).alias("beyond")
     )
-    return written(spans.unionByName(later), "repeated-spans")
+    spans = written(settled.unionByName(later), "repeated-spans")
+    removed(settled)
+    removed(unsettled)
+    shuffles_freed(spark)
+    return spans
 
 
 def deduplicated(docs: DataFrame, text: bool = False) -> DataFrame:
