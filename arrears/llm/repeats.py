@@ -283,7 +283,7 @@ def document_groups(docs: DataFrame) -> DataFrame:
                 )
 
     return docs.select("doc_id", "text_hash", "text", "keys").mapInArrow(
-        work, "doc_id long, text_hash long, start long, key long, group_hash long, windows array<long>"
+        work, "doc_id long, text_hash int, start long, key long, group_hash long, windows array<long>"
     )
 
 
@@ -302,7 +302,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     removed(held)
     removed(shared)
     shuffles_freed(spark)
-    hashed = known.withColumn("text_hash", F.xxhash64("text"))
+    hashed = known.withColumn("text_hash", F.hash("text"))
     found = written(document_groups(hashed.join(own, "doc_id")), "window-groups")
     removed(own)
     shuffles_freed(spark)
@@ -330,9 +330,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     removed(smallest)
     shuffles_freed(spark)
     single = unsettled.select("doc_id", "text_hash", "start", "key", F.posexplode("windows").alias("at", "window"))
+    single = single.select("doc_id", "text_hash", (F.col("start") + F.col("at")).alias("first"), "key", "window")
     least = single.groupBy("key", "window").agg(F.min("doc_id").alias("smallest"))
     later = single.join(least, ["key", "window"]).filter("smallest < doc_id").select(
-        "doc_id", "text_hash", (F.col("start") + F.col("at")).alias("first"), (F.col("start") + F.col("at") + WINDOW).alias("beyond")
+        "doc_id", "text_hash", "first", (F.col("first") + WINDOW).alias("beyond")
     )
     spans = written(settled.unionByName(later), "repeated-spans")
     removed(settled)
@@ -356,7 +357,7 @@ def deduplicated(docs: DataFrame, text: bool = False) -> DataFrame:
     per_text = spans.groupBy("doc_id", "text_hash").agg(
         F.collect_list("first").alias("firsts"), F.collect_list("beyond").alias("beyonds")
     )
-    hashed = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    hashed = docs.select("doc_id", "text").withColumn("text_hash", F.hash("text"))
     marked = hashed.join(per_text, ["doc_id", "text_hash"], "left").select("doc_id", "text", "firsts", "beyonds")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
