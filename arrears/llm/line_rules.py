@@ -1,10 +1,9 @@
 """Quality rules: text statistics, and lines that too many documents of a host share.
 
 Built-in functions only.  Lines are normalised and hashed; a line that more documents of
-its host hold than the limits allow is boilerplate and is removed.  Copies and near copies
-of a document count once: documents that share the first of their other lines, in the
-order of a digest, are one family.  A document that loses too many of its words is
-rejected.
+its host hold than the limits allow is boilerplate and is removed.  Distinct documents are
+counted: copies, whose lines are the same when normalised, count once, and near copies
+count each.  A document that loses too many of its words is rejected.
 """
 
 from __future__ import annotations
@@ -81,11 +80,9 @@ def statistics(docs: DataFrame) -> DataFrame:
         (F.char_length("text") - F.char_length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
+        F.md5(F.concat_ws("\n", F.transform("lines", normal))).alias("document"),
         F.transform(
-            "lines",
-            lambda x: F.struct(
-                F.xxhash64(normal(x)).alias("h"), F.md5(normal(x)).alias("m"), F.regexp_count(x, F.lit(WORD)).alias("w")
-            ),
+            "lines", lambda x: F.struct(F.xxhash64(normal(x)).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("w"))
         ).alias("lines"),
     )
 
@@ -98,23 +95,16 @@ def judged(
 ) -> DataFrame:
     """Base columns, ``base_failed``, ``kept`` and ``n_removed_words``, one row per row of ``docs``.
 
-    Rows without a source are one host of their own.  Repeated rows stay repeated and are
-    one family.  A null doc_id stays null.  An empty table gives an empty result; other
+    Rows without a source are one host of their own.  Repeated rows stay repeated and count
+    as one document.  A null doc_id stays null.  An empty table gives an empty result; other
     columns are not read.  The texts are read once; lines are joined by host and hash with
     the few that are above the limits, a line of a third of all documents included.
     """
     rows = written(statistics(docs), "text-statistics")
-    digests = F.sort_array(F.array_distinct(F.transform("lines", lambda x: x["m"])))
-    lines = (
-        rows.select("row", "host", F.slice(digests, 1, 2).alias("first"), F.explode("lines").alias("x"))
-        .select(
-            "row", "host", "x.h", "x.w",
-            F.coalesce(F.when(F.col("x.m") == F.get("first", F.lit(0)), F.get("first", F.lit(1))).otherwise(F.get("first", F.lit(0))), F.lit("")).alias("family"),
-        )
-    )
+    lines = rows.select("row", "host", "document", F.explode("lines").alias("x")).select("row", "host", "document", "x.h", "x.w")
     hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
     counted = (
-        lines.select("host", "h", "family").distinct()
+        lines.select("host", "h", "document").distinct()
         .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > min_documents)
         .join(hosts, "host")
@@ -123,7 +113,7 @@ def judged(
     )
     removed = lines.join(written(counted, "frequent-lines"), ["host", "h"]).groupBy("row").agg(F.sum("w").cast("long").alias("removed"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    out = rows.drop("lines").join(removed, "row", "left").withColumn("removed", F.coalesce("removed", F.lit(0).cast("long")))
+    out = rows.drop("lines", "document").join(removed, "row", "left").withColumn("removed", F.coalesce("removed", F.lit(0).cast("long")))
     remaining = F.col("n_words") - F.col("removed")
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -133,7 +123,9 @@ def judged(
     )
 
 
-#: DuckDB SQL for ``judged`` with the default limits
+#: DuckDB SQL for ``judged`` with the default limits; it still counts documents that share the
+#: first of their other lines, by digest, as one, and differs from ``judged`` where these are
+#: distinct (README)
 ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d)),

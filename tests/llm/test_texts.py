@@ -88,6 +88,16 @@ def test_line_rules_equal_their_twin(spark):
     assert line_rules.judged(nothing(spark)).count() == 0
 
 
+def test_documents_that_share_two_lines_count_each(spark):
+    """A header and a footer of thirty distinct documents: whichever digest is the least, both go."""
+    shared = ["header of this host and its pages", "footer of this host and its pages"]
+    rows = [(k, f"{shared[0]}\n{prose(800 + k, 60)}\n{shared[1]}", "host") for k in range(30)]
+    rows += [(100 + k, "\n".join(shared * 5), "other") for k in range(30)]  # copies count once
+    found = line_rules.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.n_removed_words for r in found if r.doc_id < 100} == {14}
+    assert {r.n_removed_words for r in found if r.doc_id >= 100} == {0}
+
+
 def test_line_rules_run_no_python(spark):
     plan = line_rules.statistics(odd(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
