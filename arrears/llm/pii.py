@@ -51,31 +51,84 @@ _NAME = r"[^\W\d_a-zа-яß-ÿ][^\W\d_]+"
 #: one pattern, types in order of preference at the same place
 DETECTOR = re.compile(
     r"(?P<email>[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,})"
-    r"|(?P<secret>(?i:token|secret|password|passwd|api[_\- ]?key|access[_\- ]?key)\s*[=:]\s*[\"']?(?P<value>[A-Za-z0-9+/_\-]{12,}={0,2})[\"']?)"
+    r"|(?P<secret>(?:(?i:token|secret|api[_\- ]?key|access[_\- ]?key)[\"']?\s*[=:]\s*[\"']?(?i:bearer\s+)?|(?<!\w)(?i:bearer)\s+)"
+    r"(?P<value>[A-Za-z0-9+/_\-]{12,}(?:\.[A-Za-z0-9+/_\-]+)*={0,2}|[A-Za-z0-9+/_\-]+(?:\.[A-Za-z0-9+/_\-]{6,}){2,}={0,2})"
+    r"|(?i:password|passwd|pwd)[\"']?\s*[=:]\s*(?:\"(?P<quoted>[^\"\s]{4,})\"|'(?P<single>[^'\s]{4,})'|(?P<bare>[^\s\"',;]{4,})))"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
-    r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[.\-])\d{3,4}[ .\-]\d{3,4}(?![\w]|-\d))"
+    r"|(?P<phone>(?<![\w+])(?:(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[.\-])\d{3,4}[ .\-]\d{3,4}(?![\w]|-\d)"
+    r"|\+\d{1,3}(?:[ .\-]?\(\d{1,4}\))?(?:[ .\-]?\d){6,12}(?![\w]|-\d)"
+    r"|(?<!\d[ .\-])\d{3} \d{3} \d{4}(?![\w]|[ \-]\d)))"
     r"|(?P<ssn>(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w]|-\d))"
     r"|(?P<card>(?<![\w])\d(?:[ \-]?\d){12,18}(?![\w]))"
     rf"|(?P<name>(?<!\w)(?P<title>{'|'.join(sorted(_GENDER, key=len, reverse=True))})(?P<dot>\.? +)(?P<who>{_NAME}(?:[ \-]{_NAME}){{0,2}}))"
 )
+_WORD = re.compile(r"[^\W\d_]+")
+_NEXT = re.compile(r"[ \-][^\W\d_]+")
 #: every match holds one of these; a text without them is left alone at once
-_HINT = re.compile(rf"[@\d]|(?i:token|secret|passw|key)|(?<!\w)(?:{'|'.join(sorted(_GENDER, key=len, reverse=True))})(?!\w)")
+_HINT = re.compile(rf"[@\d]|(?i:token|secret|passw|pwd|key|bearer)|(?<!\w)(?:{'|'.join(sorted(_GENDER, key=len, reverse=True))})(?!\w)")
 
 
-def found(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """``(start, end, type, entity)`` of what a whole text holds, left to right without overlap."""
-    if not _HINT.search(text):
-        return
+def _titled(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """``found`` without later mentions of the names."""
     for m in DETECTOR.finditer(text):
         kind = m.lastgroup if m.lastgroup in ("email", "ip", "phone", "ssn", "card") else None
         if kind:
             yield m.start(), m.end(), kind, m.group()
         elif m["secret"]:
-            yield m.start("value"), m.end("value"), "secret", m["value"]
+            part = next(g for g in ("value", "quoted", "single", "bare") if m[g])
+            yield m.start(part), m.end(part), "secret", m[part]
         elif m["who"]:
             yield m.start("who"), m.end("who"), "name_" + (_GENDER[m["title"]] or "u"), m["who"]
 
 
+def found(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """``(start, end, type, entity)`` of what a whole text holds, left to right without overlap.
+
+    Names are seen after a title; their full form and their last word are then seen anywhere
+    in the same text.
+    """
+    if not _HINT.search(text):
+        return
+    own = list(_titled(text))
+    kinds: dict[str, str] = {}
+    for _, _, kind, entity in own:
+        if kind.startswith("name") and kinds.get(entity, "name_u") == "name_u":
+            kinds[entity] = kind
+    for entity in list(kinds):
+        last = re.split(r"[ \-]", entity)[-1]
+        kinds[last] = "name_s"  # a family name alone has no gender
+    own = [(start, end, kinds[entity] if kind.startswith("name") else kind, entity) for start, end, kind, entity in own]
+    if not kinds:
+        yield from own
+        return
+    # any name at once: words are looked up, no pattern grows with the names of a text
+    longest = max(len(re.split(r"[ \-]", n)) for n in kinds)
+    at, k = 0, 0
+    for m in _WORD.finditer(text):
+        while k < len(own) and own[k][0] <= m.start():
+            yield own[k]
+            at = max(at, own[k][1])
+            k += 1
+        if m.start() < at or not m.group()[0].isalpha():
+            continue
+        best, end = None, m.end()
+        for n in range(longest):
+            if n:
+                more = _NEXT.match(text, end)
+                if not more:
+                    break
+                end = more.end()
+            if k < len(own) and end > own[k][0]:
+                break
+            if text[m.start() : end] in kinds:
+                best = end
+        if best:
+            name = text[m.start() : best]
+            yield m.start(), best, kinds[name], name
+            at = best
+    yield from own[k:]
+
+
 def _stream(key: bytes, *parts: str) -> Iterator[int]:
     """Keyed bytes without end."""
     n = 0
@@ -191,12 +244,16 @@ def _name(key: bytes, kind: str, entity: str, attempt: int) -> str:
         if i % 2:
             out.append(part)
             continue
-        pick = _stream(key, kind, entity, str(attempt), str(i))
+        # a family name draws alike after any title and given name
+        # and stays while other given names are tried
+        last = i == len(parts) - 1
+        turn = attempt if len(parts) == 1 else attempt // 4
+        pick = _stream(key, "family", part, str(turn)) if last else _stream(key, kind, entity, str(attempt), str(i))
         if i == 0 and len(parts) > 1:
             names = GIVEN_NAMES[(gender, script)] if gender != "u" else GIVEN_NAMES[("m", script)] + GIVEN_NAMES[("f", script)]
             out.append(names[_number(key, len(names), kind, entity, str(attempt))])
         else:
-            count = 2 + (len(part) > 6) + attempt // 4
+            count = 2 + (len(part) > 6) + (turn if last else attempt) // 4
             out.append("".join(_SYLLABLES[script][next(pick) % 16] for _ in range(count)).capitalize())
         if part.isupper():
             out[-1] = out[-1].upper()
@@ -212,7 +269,7 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
     if kind == "card":
         return _card(key, entity, attempt)
     if kind == "phone":
-        lead = re.match(r"\+\d{1,3}", entity)
+        lead = re.match(r"\+(?:\d{1,3}(?=\D)|[17]|\d\d)", entity)
         return _digits(key, entity, kind, attempt, len(lead.group()) - 1 if lead else 0)
     if kind == "ssn":
         return _digits(key, entity, kind, attempt)

@@ -127,6 +127,26 @@ def test_surrogates_keep_types_and_formats():
     assert "CYRILLIC" in __import__("unicodedata").name(pii.surrogate(b"k", "name_m", "Иван Петров")[0])
 
 
+@pytest.mark.parametrize("number", ["+1 555 123 4567", "555 123 4567", "+34 612 345 678", "+15551234567", "+49 30 1234567", "+33 1 23 45 67 89"])
+def test_phones_with_spaces_and_country_codes(number):
+    new, counts = pii.replaced(f"call {number}, please", b"key")
+    assert counts == {"phone": 1} and number not in new
+    assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", f"call {number}, please")
+
+
+@pytest.mark.parametrize("before, value", [('{"api_key": "', "abcdEFGH1234567"), ("token: ", "eyJhbGciOi.eyJzdWIiOi.sflKxwRJ-x"), ("Authorization: Bearer ", "ab3.def123.ghi4567890"), ("password=", "hunter2")])
+def test_secrets_in_quoted_keys_with_dots_and_short(before, value):
+    assert [x[2:] for x in pii.found(before + value)] == [("secret", value)]
+
+
+def test_later_mentions_of_a_titled_name():
+    text = "Mr John Smith came. John Smith said so, and Smith left. Mrs Smith and Dr John Smith stayed, Smithson too."
+    new, counts = pii.replaced(text, b"key")
+    assert counts == {"name": 5} and not re.search(r"\b(John|Smith)\b", new) and "Smithson" in new
+    full = pii.surrogate(b"key", "name_m", "John Smith")
+    assert new.count(full) == 3 and len(re.findall(rf"\b{full.split()[1]}\b", new)) == 5
+
+
 @given(st.integers(2, 3000), st.text(max_size=3))
 @settings(max_examples=40, deadline=None)
 def test_ciphers_are_permutations(limit, tweak):
