@@ -13,25 +13,25 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from arrears.llm.common import give_back, on_executors, pieces, texts
+from arrears.llm.pretokens import Cutter, Remembered, parts_of
 
-#: parts of texts kept per Python worker, and as many pre-tokens; they are dropped beyond that
-CACHED = 250_000
-
-
-def parts_of(text: str) -> list[str]:
-    """The parts of a text between white space."""
-    if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space for str.split(), not for tokenizers
-        return [p for p in regex.split(r"[ \t-\r]+", text) if p]
-    return text.split()
+#: bytes of remembered parts of texts per Python worker, and of remembered words
+REMEMBERED = 24 << 20
+#: remembered answers of ``Merges.follows``
+PAIRS = 100_000
+#: stands for the word-end mark in the token search
+_END = "\ue000"
+_NEVER = 1 << 60
 
 
 class Merges:
@@ -42,9 +42,8 @@ class Merges:
         self.ids: dict[str, int] = model["vocab"]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         self.ranks = {(a, b): rank for rank, (a, b) in enumerate(pairs)}
-        #: every suffix of a token: a longer suffix of a prefix need not be tried beyond these
-        self.ends = {t[i:] for t in self.ids for i in range(len(t))}
         self.tokens = {i: t for t, i in self.ids.items()}
+        self._edges: dict[int, tuple] = {}
         self._fits: dict[int, bool] = {}
 
     def symbols(self, word: str) -> tuple[str, ...]:
@@ -54,97 +53,143 @@ class Merges:
     def merge(self, parts: list[str]) -> list[str]:
         """Plain BPE: again and again the leftmost pair of the lowest rank."""
         parts = list(parts)
+        for _ in self._merging(parts):
+            pass
+        return parts
+
+    def _merging(self, parts: list[str]) -> Iterator[tuple[int, int]]:
+        """Merge ``parts`` in place; yields the rank of each merge and its place before it is done."""
         while len(parts) > 1:
-            rank, at = min(
-                (self.ranks.get((parts[i], parts[i + 1]), len(self.ranks)), i) for i in range(len(parts) - 1)
-            )
-            if rank == len(self.ranks):
-                break
+            rank, at = min((self.ranks.get((parts[i], parts[i + 1]), _NEVER), i) for i in range(len(parts) - 1))
+            if rank == _NEVER:
+                return
+            yield rank, at
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
 
     def _split(self, token: str) -> list[str]:
         body = token.removesuffix(self.suffix) if self.suffix and len(token) > len(self.suffix) else token
         return [*body[:-1], body[-1] + token[len(body) :]]
 
+    def edges(self, token: int) -> tuple:
+        """How a token comes about at its edges: ``(whole, regular, left, right)``.
+
+        ``left`` lists its first symbol at each time with the rank of the merge that ends
+        that symbol, ``right`` its last symbol; ``whole``: merging its symbols gives it;
+        ``regular``: its merges come in the order of their ranks.
+        """
+        known = self._edges.get(token)
+        if known is None:
+            parts = self._split(self.tokens[token])
+            left, right, before, regular = [], [], -1, True
+            for rank, at in self._merging(parts):
+                regular &= rank >= before
+                before = rank
+                if at == 0:
+                    left.append((parts[0], rank))
+                if at == len(parts) - 2:
+                    right.append((parts[-1], rank))
+            left.append((parts[0], _NEVER))
+            right.append((parts[-1], _NEVER))
+            known = self._edges[token] = (len(parts) == 1, regular, left, right)
+        return known
+
     def follows(self, left: int, right: int) -> bool:
-        """Whether merging the symbols of both tokens leaves just these two."""
-        key = left << 24 | right
+        """Whether merging the symbols of both tokens leaves just these two.
+
+        Where merges come in the order of their ranks, a rank is a time.  A pair across the
+        border merges if both its symbols stand there at one time and its rank comes before
+        the merges that end them; of equal ranks the leftmost goes first.
+        """
+        key = left << 32 | right
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > CACHED:
+            if len(self._fits) > PAIRS:
                 self._fits.clear()
-            two = [self.tokens[left], self.tokens[right]]
-            known = self._fits[key] = self.merge(self._split(two[0]) + self._split(two[1])) == two
+            known = self._fits[key] = self._stay(left, right)
         return known
 
+    def _stay(self, left: int, right: int) -> bool:
+        whole_a, regular_a, _, last = self.edges(left)
+        whole_b, regular_b, first, _ = self.edges(right)
+        if not (whole_a and whole_b):
+            return False
+        if not (regular_a and regular_b):
+            two = [self.tokens[left], self.tokens[right]]
+            return self.merge(self._split(two[0]) + self._split(two[1])) == two
+        i = j = 0
+        while True:
+            (a, end_a), (b, end_b) = last[i], first[j]
+            rank = self.ranks.get((a, b))
+            if rank is not None and rank < end_a and rank <= end_b:
+                return False
+            if end_a == end_b == _NEVER:
+                return True
+            if end_a <= end_b:
+                i += 1
+            else:
+                j += 1
+
+    def search(self) -> ahocorasick.Automaton:
+        """Finds all tokens in a word; values are the id and the number of symbols."""
+        found = ahocorasick.Automaton()
+        for token, i in self.ids.items():
+            if token and token != self.suffix:
+                parts = self._split(token)
+                ends = self.suffix and parts[-1] != self.suffix and parts[-1].endswith(self.suffix)
+                found.add_word(token.removesuffix(self.suffix) + _END if ends else token, (i, len(parts)))
+        found.make_automaton()
+        return found
+
 
 class Trie:
     """States of the trie's current path; words are to come in sorted order."""
 
-    def __init__(self, merges: Merges):
-        self.merges = merges
-        self.path: list[str] = []
+    def __init__(self, merges: Merges, tokens: ahocorasick.Automaton):
+        self.merges, self.tokens = merges, tokens
+        self.word = ""
         #: id of the last token of each prefix of the path, and the number of symbols in it
         self.last: list[tuple[int, int]] = []
 
-    def _grow(self, symbol: str) -> None:
-        path, last, ids, ends = self.path, self.last, self.merges.ids, self.merges.ends
-        path.append(symbol)
-        n = len(path)
-        fits = []
-        tail = ""
-        for k in range(1, n + 1):
-            tail = path[n - k] + tail
-            if tail not in ends:
-                break
-            if tail in ids:
-                fits.append((ids[tail], k))
-        follows = self.merges.follows
-        for token, k in reversed(fits):
-            if follows(last[n - k - 1][0], token) if k < n else self.merges.merge(path) == [self.merges.tokens[token]]:
-                last.append((token, k))
-                return
-        raise ValueError(f"no token ends {''.join(path)!r}")
-
     def encode(self, word: str) -> list[int]:
         """Token ids of the whole word; only states beyond the shared prefix are computed."""
-        symbols = self.merges.symbols(word)
-        shared = 0
-        for a, b in zip(self.path, symbols):
-            if a != b:
-                break
+        last, known, follows, edges = self.last, self.merges._fits, self.merges.follows, self.merges.edges
+        before, final = self.word, len(word) - 1
+        shared, most = 0, min(len(before) - 1, final)  # the last symbol has the mark
+        while shared < most and before[shared] == word[shared]:
             shared += 1
-        del self.path[shared:], self.last[shared:]
-        for symbol in symbols[shared:]:
-            self._grow(symbol)
-        out, at = [], len(symbols)
+        del last[shared:]
+        self.word = word
+        text = word + _END if self.merges.suffix else word
+        tail = len(text) - 1
+        goal = shared if shared < final else tail  # where tokens that end the next prefix end
+        for end, fit in self.tokens.iter(text):
+            if end != goal:
+                if end < goal:
+                    continue
+                break  # no token ends here
+            token, k = fit
+            n = len(last)
+            if k > n:
+                fits = edges(token)[0]
+            else:
+                left = last[n - k][0]
+                fits = known.get(left << 32 | token)
+                if fits is None:
+                    fits = follows(left, token)
+            if fits:
+                last.append(fit)
+                goal = n + 1 if n + 1 < final else tail if n < final else -1
+                if goal < 0:
+                    break
+        if len(last) <= final:
+            raise ValueError(f"no token ends a prefix of {word!r}")
+        out, at = [], len(word)
         while at:
-            token, k = self.last[at - 1]
+            token, k = last[at - 1]
             out.append(token)
             at -= k
-        return out[::-1]
-
-
-def ascii_rule(rules: dict) -> regex.Pattern | None:
-    """The file's cutting rule for lower-cased printable ASCII, if its rules have the plain form.
-
-    On such text composing changes nothing, byte characters are the characters themselves,
-    and both regular-expression dialects agree.  Other text goes through the file's own rules.
-    """
-    normal, cut = rules["normalizer"] or {}, rules["pre_tokenizer"] or {}
-    steps, cuts = normal.get("normalizers", []), cut.get("pretokenizers", [])
-    plain = (
-        [n["type"] for n in steps] == ["NFC", "Replace", "Lowercase"]
-        and (steps[1]["pattern"], steps[1]["content"]) == ({"Regex": r"\s+"}, " ")
-        and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
-        and (cuts[0]["behavior"], cuts[0]["invert"]) == ("Removed", True)
-        and "Regex" in cuts[0]["pattern"]
-        and not cuts[1]["add_prefix_space"]
-        and not cuts[1]["use_regex"]
-        and all(t["content"].startswith("<") for t in rules["added_tokens"])
-    )
-    return regex.compile(cuts[0]["pattern"]["Regex"]) if plain else None
+        out.reverse()
+        return out
 
 
 class TrieTokenizer:
@@ -155,64 +200,45 @@ class TrieTokenizer:
     """
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
         rules = json.loads(spec)
         self.merges = Merges(rules["model"])
-        # normaliser and cutting rules alone: the vocabulary is needed only once
-        own = Tokenizer.from_str(json.dumps({**rules, "model": {**rules["model"], "vocab": {}, "merges": []}}))
-        self.normalizer, self.pre_tokenizer = own.normalizer, own.pre_tokenizer
-        self.added = {t["content"]: t["id"] for t in rules["added_tokens"]}
-        special = "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))
-        self.special = regex.compile(f"({special})") if special else None
-        count = max([*self.merges.ids.values(), *self.added.values()]) + 1
+        self.search = self.merges.search()
+        self.cut = Cutter(rules)
+        count = max([*self.merges.ids.values(), *self.cut.added.values()]) + 1
         self.strings = [""] * count
-        for token, i in [*self.merges.ids.items(), *self.added.items()]:
+        for token, i in [*self.merges.ids.items(), *self.cut.added.items()]:
             self.strings[i] = token
-        self.ascii_rule = ascii_rule(rules)
-        self.parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _cut(self, part: str) -> list[str | int]:
-        """Pre-tokens of a part, and ids of added tokens in it."""
-        if self.ascii_rule and part.isascii() and part.isprintable() and "<" not in part:
-            low = part.lower()
-            return [low] if low.isalpha() else self.ascii_rule.findall(low)
-        out: list[str | int] = []
-        for piece in self.special.split(part) if self.special else [part]:
-            if piece in self.added:
-                out.append(self.added[piece])
-            elif piece:
-                out += [w for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(piece)) if w]
-        return out
+        self.parts, self.words = Remembered(REMEMBERED), Remembered(REMEMBERED)
 
-    def learn(self, parts: Iterable[str]) -> None:
+    def learn(self, parts: Iterable[str]) -> dict[str, bytes]:
         """Insert distinct parts: their new words go through the trie in sorted order."""
-        cut = {p: self._cut(p) for p in parts}
-        new = {w for own in cut.values() for w in own if isinstance(w, str)} - self.words.keys()
-        trie = Trie(self.merges)
-        for w in sorted(new):
-            self.words[w] = np.array(trie.encode(w), dtype="<u4").tobytes()
+        cut = {p: self.cut(p) for p in parts}
+        distinct = {w for own in cut.values() for w in own if isinstance(w, str)}
+        ids = {w: self.words.get(w) for w in distinct}
+        trie, put = Trie(self.merges, self.search), self.words.put
+        for w in sorted(w for w, known in ids.items() if known is None):
+            found = trie.encode(w)
+            ids[w] = struct.pack(f"<{len(found)}I", *found)
+            put(w, ids[w])
+        out = {}
         for p, own in cut.items():
-            self.parts[p] = b"".join(
-                self.words[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in own
-            )
+            out[p] = b"".join([ids[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in own])
+            self.parts.put(p, out[p])
+        return out
 
     def encode_batch(self, batch: list[str]) -> list[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit numbers."""
         split = [parts_of(t) for t in batch]
-        distinct = set().union(*split)
-        if len(self.parts) + len(distinct) > CACHED:
-            # what the batch at hand uses stays, and with it the frequent parts
-            self.parts = {p: self.parts[p] for p in distinct & self.parts.keys()}
-            self.words.clear()
-        self.learn(distinct - self.parts.keys())
-        find = self.parts.__getitem__
+        known = {p: self.parts.get(p) for p in set().union(*split)}
+        known |= self.learn([p for p, ids in known.items() if ids is None])
+        find = known.__getitem__
         return [b"".join(map(find, words)) for words in split]
 
     def forget(self) -> None:
         """Drop what was remembered of texts."""
-        self.parts, self.words, self.merges._fits = {}, {}, {}
+        self.parts.forget()
+        self.words.forget()
+        self.merges._fits.clear()
 
     def decode(self, ids: bytes) -> str:
         """The token strings joined by spaces: what a file without a decoder asks for."""
@@ -230,7 +256,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, ids: bool = False) -> DataFr
     A null text is the empty text and has no tokens.  Repeated rows stay repeated, a null
     doc_id stays null, an empty table gives an empty result, other columns are not read.
     The driver reads the tokenizer file, whose size does not grow with the data, and
-    broadcasts it.  No shuffle: tasks keep at most ``CACHED`` distinct parts in memory.
+    broadcasts it.  No shuffle: tasks remember parts and words within ``REMEMBERED`` bytes each.
     """
     spark: SparkSession = docs.sparkSession
     on_executors(spark)
@@ -240,7 +266,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, ids: bool = False) -> DataFr
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(spec.value)
         tok.forget()
-        for batch in pieces(batches, limit=4 << 20):
+        for batch in pieces(batches, limit=2 << 20):
             codes = tok.encode_batch(texts(batch.column(1)))
             decoded = list(map(tok.decode, codes))
             columns = [
@@ -251,7 +277,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, ids: bool = False) -> DataFr
             ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:
-                columns += [pa.array([np.frombuffer(c, dtype="<u4").astype(np.int64) for c in codes], pa.list_(pa.int64())), pa.array(decoded, pa.string())]
+                columns += [pa.array([np.frombuffer(c, dtype="<i4") for c in codes], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
         # the worker lives on: other jobs need the memory
@@ -259,4 +285,4 @@ def tokenized(docs: DataFrame, tokenizer_path: str, ids: bool = False) -> DataFr
         give_back()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(work, schema + (", ids array<long>, decoded string" if ids else ""))
+    return docs.select("doc_id", "text").mapInArrow(work, schema + (", ids array<int>, decoded string" if ids else ""))

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from arrears.llm import bpe, line_rules, mixing, pii, quality, repeats, sharding, simhash, toxicity, vectors
+from arrears.llm import (
+    bpe, conversations, line_rules, mixing, pii, quality, repeats, resample, sharding, simhash, token_files, toxicity, vectors,
+)
 from arrears.llm.common import table
 from arrears.sources.staging import fresh_path
 
@@ -59,6 +61,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"), 24, fresh_path(spark, "slot-map"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_positions(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
@@ -70,6 +84,9 @@ QUERIES = {
     "op8_vectors": op8_vectors,
     "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,
+    "op11_conversations": op11_conversations,
+    "op12_token_files": op12_token_files,
+    "op13_resample": op13_resample,
 }
 
 ORACLES: dict[str, str] = {"op7_line_rules": line_rules.ORACLE}
