@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from arrears.llm import bpe, mixing, pii, quality, shingles
+from arrears.llm import bpe, mixing, pii, quality, simhash
 from arrears.llm.common import written
 
 
@@ -17,8 +17,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document stays of each group that pairs with a five-word Jaccard similarity of 0.8 connect."""
-    return shingles.keep_one_of_similar(docs)
+    """One document stays of each group that links of four or fewer differing fingerprint bits connect."""
+    return simhash.keep_one_per_group(docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
