@@ -13,8 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -22,13 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from arrears.llm.common import give_back, on_executors, pieces, texts
-from arrears.llm.pretokens import Cutter, Remembered, parts_of
+from arrears.llm.common import give_back, on_executors, pieces, without_cycles
+from arrears.llm.pretokens import Cutter, encoded_column
 
-#: bytes of remembered parts of texts per Python worker, and of remembered words
-REMEMBERED = 24 << 20
+#: bytes of text whose distinct words make one trie
+PIECE = 4 << 20
 #: remembered answers of ``Merges.follows``
-PAIRS = 100_000
+PAIRS = 200_000
 #: stands for the word-end mark in the token search
 _END = "\ue000"
 _NEVER = 1 << 60
@@ -208,39 +207,25 @@ class TrieTokenizer:
         self.strings = [""] * count
         for token, i in [*self.merges.ids.items(), *self.cut.added.items()]:
             self.strings[i] = token
-        self.parts, self.words = Remembered(REMEMBERED), Remembered(REMEMBERED)
-
-    def learn(self, parts: Iterable[str]) -> dict[str, bytes]:
-        """Insert distinct parts: their new words go through the trie in sorted order."""
-        cut = {p: self.cut(p) for p in parts}
-        distinct = {w for own in cut.values() for w in own if isinstance(w, str)}
-        ids = {w: self.words.get(w) for w in distinct}
-        trie, put = Trie(self.merges, self.search), self.words.put
-        for w in sorted(w for w, known in ids.items() if known is None):
-            found = trie.encode(w)
-            ids[w] = struct.pack(f"<{len(found)}I", *found)
-            put(w, ids[w])
-        out = {}
-        for p, own in cut.items():
-            out[p] = b"".join([ids[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in own])
-            self.parts.put(p, out[p])
-        return out
+
+    def learn(self, words: list[str]) -> list[list[int]]:
+        """Ids of distinct words, which go through a trie in sorted order."""
+        trie, out = Trie(self.merges, self.search), {}
+        for w in sorted(words):
+            out[w] = trie.encode(w)
+        return [out[w] for w in words]
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the whole texts of a column, and where each text's ids start."""
+        with without_cycles():
+            return encoded_column(column, self.cut, self.learn)
 
     def encode_batch(self, batch: list[str]) -> list[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit numbers."""
-        split = [parts_of(t) for t in batch]
-        known = {p: self.parts.get(p) for p in set().union(*split)}
-        known |= self.learn([p for p, ids in known.items() if ids is None])
-        find = known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
-
-    def forget(self) -> None:
-        """Drop what was remembered of texts."""
-        self.parts.forget()
-        self.words.forget()
-        self.merges._fits.clear()
-
-    def decode(self, ids: bytes) -> str:
+        ids, starts = self.encode_column(pa.array(batch, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
+
+    def decode(self, ids: bytes | memoryview) -> str:
         """The token strings joined by spaces: what a file without a decoder asks for."""
         return " ".join(map(self.strings.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
@@ -256,7 +241,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, ids: bool = False) -> DataFr
     A null text is the empty text and has no tokens.  Repeated rows stay repeated, a null
     doc_id stays null, an empty table gives an empty result, other columns are not read.
     The driver reads the tokenizer file, whose size does not grow with the data, and
-    broadcasts it.  No shuffle: tasks remember parts and words within ``REMEMBERED`` bytes each.
+    broadcasts it.  No shuffle: a task holds the distinct words of ``PIECE`` bytes of text.
     """
     spark: SparkSession = docs.sparkSession
     on_executors(spark)
@@ -265,24 +250,23 @@ def tokenized(docs: DataFrame, tokenizer_path: str, ids: bool = False) -> DataFr
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(spec.value)
-        tok.forget()
-        for batch in pieces(batches, limit=2 << 20):
-            codes = tok.encode_batch(texts(batch.column(1)))
+        for batch in pieces(batches, limit=PIECE):
+            every, starts = tok.encode_column(batch.column(1))
+            codes = [memoryview(every[a:b]) for a, b in zip(starts[:-1], starts[1:])]
             decoded = list(map(tok.decode, codes))
             columns = [
                 batch.column(0),
-                pa.array([len(c) // 4 for c in codes], pa.int64()),
+                pa.array(np.diff(starts)),
                 pa.array([hashlib.sha256(c).hexdigest() for c in codes], pa.string()),
                 pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string()),
             ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:
-                columns += [pa.array([np.frombuffer(c, dtype="<i4") for c in codes], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                lists = pa.ListArray.from_arrays(starts.astype(np.int32), every.view(np.int32))
+                columns += [lists, pa.array(decoded, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
-        # the worker lives on: other jobs need the memory
-        tok.forget()
-        give_back()
+        give_back()  # the worker lives on: other jobs need the memory
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", "text").mapInArrow(work, schema + (", ids array<int>, decoded string" if ids else ""))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 from collections.abc import Iterator
@@ -72,6 +73,16 @@ def give_back() -> None:
         trim(0)
 
 
+@contextlib.contextmanager
+def without_cycles():
+    """For code that makes very many small objects and no cycles: no passes of the cycle collector over them."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def removed(df: DataFrame) -> None:
     """Delete the files of a table that ``written`` made and nobody reads any more."""
     spark = df.sparkSession

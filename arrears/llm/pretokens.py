@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: text that the plain rules leave in its composed form and in which case and character classes
@@ -12,13 +17,6 @@ import regex
 _SETTLED = re.compile(r"[!-;=-~¡-įı-ɏ]+")
 
 
-def parts_of(text: str) -> list[str]:
-    """The parts of a text between white space."""
-    if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space for str.split(), not for tokenizers
-        return [p for p in regex.split(r"[ \t-\r]+", text) if p]
-    return text.split()
-
-
 def byte_characters() -> dict[int, str]:
     """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -44,7 +42,7 @@ def plain_rule(rules: dict) -> regex.Pattern | None:
 
 
 class Cutter:
-    """Pre-tokens of parts; settled parts by the rule itself, others by the library's own rules."""
+    """Pre-tokens of parts; settled parts by the rule itself, all at once, others by the library's own rules."""
 
     def __init__(self, rules: dict):
         from tokenizers import Tokenizer
@@ -55,17 +53,15 @@ class Cutter:
         self.added = {t["content"]: t["id"] for t in rules["added_tokens"]}
         special = "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))
         self.special = regex.compile(f"({special})") if special else None
-        self.rule = plain_rule(rules)
-        self.characters = {b: c for b, c in byte_characters().items() if chr(b) != c}
-
-    def __call__(self, part: str) -> list[str | int]:
+        rule = plain_rule(rules)
+        self.rule = regex.compile(f"{rule.pattern}|\n") if rule else None
+        # the byte characters in UTF-8: at most two bytes each; white space stays
+        written = [(chr(b) if b <= 0x20 else c).encode() for b, c in sorted(byte_characters().items())]
+        self.sizes = np.array([len(w) for w in written])
+        self.written = np.array([list(w.ljust(2, b"\0")) for w in written], dtype=np.uint8)
+
+    def _by_library(self, part: str) -> list[str | int]:
         """Pre-tokens of a part, and ids of added tokens in it."""
-        if self.rule and _SETTLED.fullmatch(part):
-            low = part.lower()
-            words = [low] if low.isalpha() else self.rule.findall(low)
-            if low.isascii():
-                return words
-            return [w if w.isascii() else w.encode().decode("latin-1").translate(self.characters) for w in words]
         out: list[str | int] = []
         for piece in self.special.split(part) if self.special else [part]:
             if piece in self.added:
@@ -74,27 +70,70 @@ class Cutter:
                 out += [w for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(piece)) if w]
         return out
 
-
-class Remembered:
-    """Bytes by string within a bound of memory: two generations, the older one goes when the newer is full."""
-
-    def __init__(self, limit: int):
-        self.limit = limit
-        self.forget()
-
-    def forget(self) -> None:
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.size = 0
-
-    def get(self, key: str) -> bytes | None:
-        value = self.new.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
-        return value
-
-    def put(self, key: str, value: bytes) -> None:
-        if self.size > self.limit // 2:
-            self.old, self.new, self.size = self.new, {}, 0
-        self.new[key] = value
-        self.size += 200 + len(key) + len(value)
+    def cut(self, parts: list[str]) -> tuple[list[int], list[str | int]]:
+        """``(order, pieces)``: the pre-tokens of all parts, each part followed by a line end.
+
+        ``order`` says which part comes first, second and so on; added tokens are numbers.
+        """
+        if self.rule:
+            full = _SETTLED.fullmatch
+            plain = [bool(full(p)) for p in parts]
+        else:
+            plain = [False] * len(parts)
+        order = [k for k, p in enumerate(plain) if p]
+        pieces: list[str | int] = []
+        if order:
+            found = self.rule.findall("".join([parts[k] + "\n" for k in order]).lower())
+            # words hold no spaces: their bytes turn into characters all at once
+            data = np.frombuffer(" ".join(found).encode(), dtype=np.uint8)
+            pairs = self.written[data]
+            pieces += pairs[np.arange(2) < self.sizes[data][:, None]].tobytes().decode().split(" ")
+        for k, p in enumerate(plain):
+            if not p:
+                order.append(k)
+                pieces += self._by_library(parts[k])
+                pieces.append("\n")
+        return order, pieces
+
+
+def encoded_column(
+    column: pa.Array, cutter: Cutter, code: Callable[[list[str]], list[list[int]]]
+) -> tuple[np.ndarray, np.ndarray]:
+    """``(ids, starts)`` of the texts of an Arrow column; null is the empty text.
+
+    Text i has ``ids[starts[i] : starts[i + 1]]``.  The parts between ASCII white space, over
+    which no rule looks, are made distinct by Arrow; only distinct parts are cut, only
+    distinct words are given to ``code`` for their ids, and arrays put the ids in place.
+    """
+    lists = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+    flat = lists.flatten().dictionary_encode()
+    order, pieces = cutter.cut(flat.dictionary.to_numpy(zero_copy_only=False).tolist())
+    words: dict[str | int, int] = {"\n": 0}
+    names = np.fromiter((words.setdefault(w, len(words)) for w in pieces), dtype=np.int64, count=len(pieces))
+    del pieces
+    distinct = list(words)[1:]
+    coded = iter(code([w for w in distinct if isinstance(w, str)]))
+    ids = [next(coded) if isinstance(w, str) else (w,) for w in distinct]
+    size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+    pool = np.fromiter(chain.from_iterable(ids), dtype="<u4", count=int(size.sum()))
+    del words, distinct, ids
+    # ids of the pieces, then of the parts, then of the texts
+    pool, _ = _gathered(pool, np.concatenate([[0], size]), names)
+    size = np.concatenate([[0], size])[names]
+    ends = np.flatnonzero(names == 0)
+    total = np.cumsum(size)[ends]
+    parts = np.empty(len(order), dtype=np.int64)
+    firsts = np.empty(len(order), dtype=np.int64)
+    parts[order] = np.diff(total, prepend=0)
+    firsts[order] = np.concatenate([[0], total[:-1]]) if len(order) else total
+    pool, before = _gathered(pool, parts, flat.indices.to_numpy(zero_copy_only=False), firsts)
+    places = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    return pool, before[places - places[0]]
+
+
+def _gathered(pool: np.ndarray, size: np.ndarray, at: np.ndarray, first: np.ndarray | None = None):
+    """The stretches ``at`` of the pool one after the other, and where each starts."""
+    first = np.cumsum(size) - size if first is None else first
+    before = np.concatenate([[0], np.cumsum(size[at])])
+    source = np.repeat(first[at] - before[:-1], size[at]) + np.arange(before[-1])
+    return pool[source], before

@@ -35,8 +35,8 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from arrears.llm.common import give_back, on_executors, pieces, texts, written
-from arrears.llm.pretokens import Cutter, Remembered, parts_of, plain_rule
+from arrears.llm.common import give_back, on_executors, pieces, texts, without_cycles, written
+from arrears.llm.pretokens import Cutter, encoded_column, plain_rule
 from arrears.sources.staging import fresh_path
 
 MAGIC, END = b"PFOR0001", b"PFOR"
@@ -45,8 +45,8 @@ BLOCK = 1024
 PERCENTILE = 0.9
 #: blocks that are packed or unpacked at once
 CHUNK = 256
-#: bytes of remembered parts of texts per task
-REMEMBERED = 24 << 20
+#: bytes of text whose distinct words are encoded once
+PIECE = 4 << 20
 END_ID = 1
 
 _HEAD = struct.Struct("<HBBHI")
@@ -242,27 +242,20 @@ class LibraryEncoder:
         self.plain = plain_rule(rules) is not None
         if self.plain:
             self.model, self.cut = self.library.model, Cutter(rules)
-        self.parts = Remembered(REMEMBERED)
-
-    def _part(self, part: str) -> bytes:
-        ids: list[int] = []
-        for w in self.cut(part):
-            ids += [t.id for t in self.model.tokenize(w)] if isinstance(w, str) else [w]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def encode(self, batch: list[str]) -> list[bytes]:
-        if not self.plain:
-            # one by one: the library's own threads would compete with Spark's tasks
-            encode = self.library.encode
-            return [np.array(encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in batch]
-        split = [parts_of(t) for t in batch]
-        known = {}
-        for p in set().union(*split):
-            ids = self.parts.get(p)
-            if ids is None:
-                self.parts.put(p, ids := self._part(p))
-            known[p] = ids
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+
+    def _words(self, words: list[str]) -> list[list[int]]:
+        tokenize = self.model.tokenize
+        return [[t.id for t in tokenize(w)] for w in words]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of a column, and where each text's ids start."""
+        if self.plain:
+            with without_cycles():
+                return encoded_column(column, self.cut, self._words)
+        # one by one: the library's own threads would compete with Spark's tasks
+        every = [self.library.encode(t, add_special_tokens=False).ids for t in texts(column)]
+        starts = np.cumsum([0, *map(len, every)])
+        return np.array([i for ids in every for i in ids], dtype="<u4"), starts
 
 
 # --- Spark
@@ -292,10 +285,10 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
         part = TaskContext.get().partitionId()
 
         def documents() -> Iterator[tuple[int | None, bytes]]:
-            for batch in pieces(batches, limit=2 << 20):
-                names = batch.column(0).to_pylist()
-                for doc_id, ids in zip(names, encoder.encode(texts(batch.column(1)))):
-                    yield doc_id, ids + end
+            for batch in pieces(batches, limit=PIECE):
+                ids, starts = encoder.encode(batch.column(1))
+                for doc_id, a, b in zip(batch.column(0).to_pylist(), starts[:-1].tolist(), starts[1:].tolist()):
+                    yield doc_id, ids[a:b].tobytes() + end
 
         system, base = _opened(folder)
         system.create_dir(base, recursive=True)

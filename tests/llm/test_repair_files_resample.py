@@ -10,6 +10,7 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -194,8 +195,12 @@ def test_encoder_equals_the_library(library, texts):
         test_encoder_equals_the_library.own = token_files.LibraryEncoder(open(TOKENIZER, encoding="utf-8").read())
     own = test_encoder_equals_the_library.own
     assert own.plain
-    for text, ids in zip(texts, own.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for plain in (True, False):
+        own.plain = plain
+        ids, starts = own.encode(pa.array([*texts, None, ""], pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [*want, [], []]
+    own.plain = True
 
 
 def test_token_files_of_odd_rows(spark, library, tmp_path):
