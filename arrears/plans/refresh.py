@@ -42,7 +42,7 @@ def score_clients(
     batch = _settled(spark, scoring.client_scores(features, computed_on), "scores")
     tables.guarded_swap(spark, table, batch, quality.SCORE_GUARD, root, K.CLIENT_SCORES)
     if export:
-        invoice_export.write_csv(spark.table(table), export)
+        invoice_export.write_csv(spark.table(table), export, for_excel=True)
     return spark.table(table)
 
 
@@ -70,7 +70,7 @@ def classify_invoices(
     predicted = _settled(
         spark, classifier.predict(rows, "invoice_id", "concept", model).drop("best"), "predicted"
     )
-    invoice_export.write_csv(predicted, export)
+    invoice_export.write_csv(predicted, export, for_excel=True)
     return predicted
 
 
@@ -78,5 +78,5 @@ def forecast_cash(spark: SparkSession, export: str, invoices: str = "invoices")
     """Forecast of the whole portfolio for three months, exported as CSV."""
     monthly = series.monthly_series(cleaning.for_cash_series(spark.table(invoices)))
     out = _settled(spark, forecast.forecast(monthly), "forecast")
-    invoice_export.write_csv(out, export)
+    invoice_export.write_csv(out, export, for_excel=True)
     return out

@@ -131,13 +131,48 @@ def scanned_labels(spark, sf_dir):
     return exports.read_labels(spark, path)
 
 
+@query
+def invoices_with_line_breaks(spark, sf_dir):
+    """Exports with line breaks and quotes in the concepts, scanned in splits of 64 KB and cleaned."""
+    path = staging.fresh_path(spark, "export")
+    raw = feed.raw_invoices(spark, sf_dir)
+    rows = raw.select(*[F.col(f"`{n}`") for n in K.RAW_INVOICES.fieldNames()])
+    broken = F.when(
+        F.col("Folio").cast("bigint") % 3 == 0,
+        F.concat(F.lit("uno\n\"dos\", "), F.coalesce("Concepto", F.lit("")), F.lit("\n\ntres")),
+    ).otherwise(F.col("Concepto"))
+    exports.write_csv(rows.withColumn("Concepto", broken), path, for_excel=True)
+    with exports.quoted_records.splits_of(spark, 1 << 16):
+        # a written table: the scan keeps the splits that it was planned with
+        return staging.kept(cleaning.clean_invoices(exports.read_invoices(spark, path)), "scanned")
+
+
+@query
+def sheet_with_line_breaks(spark, sf_dir):
+    """Ledger sheets whose order numbers hold line breaks, banner and header included."""
+    path = staging.fresh_path(spark, "sheet")
+    ledger = feed.raw_ledger(spark, sf_dir).where("factura IS NOT NULL")
+    cells = [F.concat("oc", F.lit("\nlote \"B\"")).alias("oc") if c == "oc" else F.col(c) for c in K.LEDGER.fieldNames()]
+    line = F.to_csv(F.struct(F.lit("").alias("blank"), *cells), {"escape": exports.ESCAPE, "quoteAll": "true"})
+    body = ledger.select(F.pmod(F.xxhash64("factura"), F.lit(3)).alias("sheet"), F.lit(9).alias("place"), line.alias("value"))
+    top = spark.range(3).select(
+        F.col("id").alias("sheet"),
+        F.posexplode(F.array(F.lit('"Cartera\nvencida"'), F.lit(""), F.lit(',Factura,"O\nC",Saldo,Orig,Fecha'))).alias("place", "value"),
+    )
+    every = top.unionByName(body).repartition("sheet").sortWithinPartitions("sheet", "place")
+    every.select("sheet", "value").write.partitionBy("sheet").text(path)
+    with exports.quoted_records.splits_of(spark, 1 << 12):
+        found = staging.kept(exports.read_sheet(spark, path, K.LEDGER, 2, skip_columns=1), "scanned")
+    return rounded(cleaning.clean_ledger(found), 2, "curtrxam")
+
+
 @query
 def scanned_sheet(spark, sf_dir):
     """Write ledger sheets with banner, header and an empty first column, scan and clean them."""
     path = staging.fresh_path(spark, "sheet")
     ledger = feed.raw_ledger(spark, sf_dir)
     sheet = F.pmod(F.xxhash64("factura"), F.lit(3))
-    line = F.to_csv(F.struct(F.lit("").alias("blank"), *[F.col(c) for c in K.LEDGER.fieldNames()]))
+    line = F.to_csv(F.struct(F.lit("").alias("blank"), *[F.col(c) for c in K.LEDGER.fieldNames()]), {"escape": exports.ESCAPE})
     body = ledger.where("factura IS NOT NULL").select(sheet.alias("sheet"), F.lit(9).alias("place"), line.alias("value"))
     top = spark.range(3).select(
         F.col("id").alias("sheet"), F.posexplode(F.array(F.lit("Cartera"), F.lit(""), F.lit(",Factura,OC,Saldo,Orig,Fecha"))).alias("place", "value")

@@ -389,6 +389,11 @@ SELECT reason, count(*) AS n FROM (
               WHEN CAST(folio AS BIGINT) % 31 = 0 THEN 'unreadable payment date' END AS reason FROM raw)
 WHERE reason IS NOT NULL GROUP BY reason"""),
     "scanned_labels": "SELECT p_name AS concepto, p_brand AS etiqueta_auto, p_type AS categoria_modelo FROM part",
+    "invoices_with_line_breaks": with_(INV, """
+SELECT * REPLACE (CASE WHEN invoice_id % 3 = 0
+  THEN 'uno' || chr(10) || '"dos", ' || coalesce(concept, '') || chr(10) || chr(10) || 'tres' ELSE concept END AS concept) FROM inv"""),
+    "sheet_with_line_breaks": f"""WITH {LEDGER}
+SELECT factura, oc || chr(10) || 'lote "B"' AS oc, {r('curtrxam')} AS curtrxam, orctrxam1, fecha_calculo FROM ledger""",
     "scanned_sheet": f"WITH {LEDGER} SELECT factura, oc, {r('curtrxam')} AS curtrxam, orctrxam1, fecha_calculo FROM ledger",
     "copied_tables": """
 SELECT 'customer' AS table_name, count(*) AS source_rows, count(*) AS target_rows, 'ok' AS status FROM customer

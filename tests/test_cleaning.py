@@ -106,6 +106,32 @@ def test_sheet_scan_can_start_at_a_later_column(spark, tmp_path):
     assert [(r.cot, r.importe, r.concepto) for r in out] == [("C1", 10.0, "a, b"), ("C3", None, "d")]
 
 
+@pytest.mark.parametrize("block", [47, 1000])
+def test_records_over_many_splits(spark, tmp_path, block):
+    """Cells longer than a split, escaped quotes, line ends of both kinds, two files with other headers."""
+    giant = "\n".join(f"linea {k}" for k in range(60))
+    cells = ["plain", "two\nlines", giant, 'say ""yes""\n', "\n\n", 'last ""\n"", end']
+    rows = [(f"c{k}", cells[k % len(cells)]) for k in range(40)]
+    (tmp_path / "a.csv").write_bytes(
+        ("\ufeffconcepto,etiqueta_auto,\"categoria\n_modelo\",categoria_modelo\r\n" + "".join(f'{a},"{b}",x,m\r\n' for a, b in rows)).encode()
+    )
+    (tmp_path / "b.csv").write_text("categoria_modelo,etiqueta_auto,concepto\n" + "".join(f'm,"{b}",d{a}\n' for a, b in rows))
+    (tmp_path / "c.csv").write_text("etiqueta_auto,categoria_modelo,concepto\nno breaks,m,e\n")
+    with invoice_export.quoted_records.splits_of(spark, block):
+        found = invoice_export.read_labels(spark, f"{tmp_path}/*.csv").collect()
+    want = [(p + a, b.replace('""', '"')) for p in ("", "d") for a, b in rows] + [("e", "no breaks")]
+    assert sorted((r.concepto, r.etiqueta_auto) for r in found) == sorted(want)
+    assert {r.categoria_modelo for r in found} == {"m"}
+
+
+def test_csv_for_spreadsheets_starts_with_a_byte_order_mark(spark, tmp_path):
+    out = tmp_path / "out"
+    invoice_export.write_csv(spark.sql("SELECT 'ñ' AS concepto, 'a' AS etiqueta_auto, 'b' AS categoria_modelo"), str(out), for_excel=True)
+    (part,) = out.glob("part-*")
+    assert part.read_bytes().startswith("\ufeffconcepto".encode())
+    assert invoice_export.read_labels(spark, str(out)).first().concepto == "ñ"
+
+
 def test_labels_with_byte_order_mark(spark, tmp_path):
     path = tmp_path / "labels.csv"
     path.write_bytes("﻿concepto,etiqueta_auto,categoria_modelo\nGAS,otro,venta_refaccion\n".encode())
