@@ -908,6 +908,32 @@ def invoices_to_review(spark, sf_dir):
     return classifier.review_list(_predictions(spark, sf_dir))
 
 
+def _counted_predictions(spark, sf_dir):
+    """Predictions of the closed-form model, stored and loaded as a job would."""
+    slug = hashlib.md5(sf_dir.encode()).hexdigest()
+    path = f"{staging.shared_folder(spark)}/{spark.sparkContext.applicationId}/counted-{slug}"
+    model = classifier.load_or_train(
+        spark, path, lambda: classifier.train_by_counts(_labelled_concepts(spark, sf_dir), "key", "concept", "label")
+    )
+    return classifier.predict(cleaning.for_classifier(feed.invoices(spark, sf_dir)), "invoice_id", "concept", model)
+
+
+@query
+def classified_by_counts(spark, sf_dir):
+    return _counted_predictions(spark, sf_dir)
+
+
+@query
+def counted_prediction_summary(spark, sf_dir):
+    out = classifier.prediction_summary(_counted_predictions(spark, sf_dir))
+    return rounded(rounded(out, 2, "amount"), 4, "avg_confidence")
+
+
+@query
+def counted_invoices_to_review(spark, sf_dir):
+    return classifier.review_list(_counted_predictions(spark, sf_dir))
+
+
 @query
 def concept_cross_validation(spark, sf_dir):
     """Five stratified folds over the labelled concepts."""

@@ -267,6 +267,49 @@ occ AS (
 terms AS (SELECT doc_id, term, count(*) AS tf FROM occ GROUP BY doc_id, term)"""
 
 
+def term_rows(name: str, source: str, key: str) -> str:
+    """``name(key, term, tf)``: tokens and pairs of the normalised texts in ``source(key, text)``."""
+    return f"""
+{name}_tok AS (SELECT {key}, regexp_extract_all(text, '[A-Z0-9]+') AS t FROM {source}),
+{name}_occ AS (
+  SELECT {key}, unnest(t) AS term FROM {name}_tok
+  UNION ALL
+  SELECT {key}, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM {name}_tok
+),
+{name} AS (SELECT {key}, term, count(*) AS tf FROM {name}_occ GROUP BY {key}, term)"""
+
+
+#: predictions of the closed-form classifier for every invoice
+COUNTED = f"""{INV},
+lab AS (SELECT DISTINCT {CONCEPT} AS concept FROM part),
+cat AS (SELECT *, CASE {_hits} ELSE 'otro' END AS label FROM lab),
+train AS (SELECT concept AS key, {NORMAL.format("concept")} AS text, label FROM cat WHERE label <> 'otro'),
+{term_rows("own", "train", "key")},
+cls AS (SELECT label, count(*) AS n_c, ln(count(*) / (SELECT count(*) FROM train)) AS prior FROM train GROUP BY label),
+vocab AS (SELECT term, ln((1 + (SELECT count(*) FROM train)) / (1 + count(*))) + 1 AS idf FROM own GROUP BY term),
+tc AS (SELECT term, label, sum(tf) AS n FROM own JOIN train USING (key) GROUP BY term, label),
+tot AS (SELECT label, sum(n) AS total FROM tc GROUP BY label),
+coef AS (
+  SELECT term, idf, label, ln((coalesce(n, 0) + 1) / (total + (SELECT count(*) FROM vocab))) AS c
+  FROM vocab CROSS JOIN cls LEFT JOIN tc USING (term, label) JOIN tot USING (label)
+),
+texts AS (SELECT DISTINCT {NORMAL.format("coalesce(concept, 'None')")} AS text FROM inv),
+{term_rows("said", "texts", "text")},
+sums AS (
+  SELECT text, label, sum((1 + ln(tf)) * idf * c) / sqrt(sum((1 + ln(tf)) * idf * (1 + ln(tf)) * idf)) AS m
+  FROM said JOIN coef USING (term) GROUP BY text, label
+),
+margins AS (SELECT text, label, coalesce(m, 0) + prior AS m FROM texts CROSS JOIN cls LEFT JOIN sums USING (text, label)),
+exps AS (SELECT text, label, exp(m - max(m) OVER (PARTITION BY text)) AS e FROM margins),
+probs AS (SELECT text, label, e / sum(e) OVER (PARTITION BY text) AS p FROM exps),
+best AS (SELECT * FROM probs QUALIFY row_number() OVER (PARTITION BY text ORDER BY p DESC, label) = 1),
+predicted AS (
+  SELECT invoice_id, client, invoice_date, concept, total, is_paid, label AS best,
+         CASE WHEN p >= 0.4 THEN label ELSE 'otro' END AS predicted, {r("p", 4)} AS confidence
+  FROM inv JOIN best ON {NORMAL.format("coalesce(concept, 'None')")} = text
+)"""
+
+
 def ranked(table: str, key: str, label: str) -> str:
     return (
         f"ranked AS (SELECT *, row_number() OVER (PARTITION BY {label} "
@@ -633,6 +676,13 @@ UNION ALL SELECT 'weighted avg', {r("sum(pr * support) / sum(support)", 6)},
 )
 SELECT fold, n, {r("a", 6)} AS accuracy, {r("avg(a) OVER ()", 6)} AS mean_accuracy,
   {r("stddev_pop(a) OVER ()", 6)} AS std_accuracy FROM f"""),
+    "classified_by_counts": with_(COUNTED, "SELECT * FROM predicted"),
+    "counted_prediction_summary": with_(COUNTED, f"""
+SELECT predicted, count(*) AS n_invoices, {r("coalesce(sum(total), 0)")} AS amount, {r("avg(confidence)", 4)} AS avg_confidence
+FROM predicted GROUP BY predicted"""),
+    "counted_invoices_to_review": with_(COUNTED, """
+SELECT invoice_id, predicted, confidence, left(concept, 52) AS concept, n AS n_doubtful, greatest(n - 8, 0) AS n_more
+FROM (SELECT *, count(*) OVER () AS n FROM predicted WHERE confidence < 0.6) ORDER BY confidence, invoice_id LIMIT 8"""),
     "concept_training_set": f"""
 WITH inv AS (SELECT DISTINCT {CONCEPT} AS concept FROM part),
 cat AS (SELECT *, CASE {_hits} ELSE 'otro' END AS label FROM inv)
