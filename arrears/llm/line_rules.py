@@ -14,9 +14,8 @@ from arrears.llm.common import WORD, written
 
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
-#: a line is above the limits in more documents than both of these say
-MIN_DOCUMENTS = 20
-MAX_SHARE = 0.05
+#: a line in more distinct documents of its host than this is above the limit
+MAX_DOCUMENTS = 20
 #: of a document's words this share must remain
 MIN_REMAINING = 0.5
 
@@ -89,12 +88,14 @@ def statistics(docs: DataFrame) -> DataFrame:
 
 def judged(
     docs: DataFrame,
-    min_documents: int = MIN_DOCUMENTS,
-    max_share: float = MAX_SHARE,
+    max_documents: int = MAX_DOCUMENTS,
+    max_share: float | None = None,
     min_remaining: float = MIN_REMAINING,
 ) -> DataFrame:
     """Base columns, ``base_failed``, ``kept`` and ``n_removed_words``, one row per row of ``docs``.
 
+    A line goes if more than ``max_documents`` distinct documents of its host hold it, and,
+    where ``max_share`` is given, more than that share of the host's distinct documents.
     Rows without a source are one host of their own.  Repeated rows stay repeated and count
     as one document.  A null doc_id stays null.  An empty table gives an empty result; other
     columns are not read.  The texts are read once; lines are joined by host and hash with
@@ -102,15 +103,15 @@ def judged(
     """
     rows = written(statistics(docs), "text-statistics")
     lines = rows.select("row", "host", "document", F.explode("lines").alias("x")).select("row", "host", "document", "x.h", "x.w")
-    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
     counted = (
         lines.select("host", "h", "document").distinct()
         .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > min_documents)
-        .join(hosts, "host")
-        .filter(F.col("n") > max_share * F.col("documents"))
-        .select("host", "h")
+        .filter(F.col("n") > max_documents)
     )
+    if max_share is not None:
+        hosts = rows.select("host", "document").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+        counted = counted.join(hosts, "host").filter(F.col("n") > max_share * F.col("documents"))
+    counted = counted.select("host", "h")
     removed = lines.join(written(counted, "frequent-lines"), ["host", "h"]).groupBy("row").agg(F.sum("w").cast("long").alias("removed"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = rows.drop("lines", "document").join(removed, "row", "left").withColumn("removed", F.coalesce("removed", F.lit(0).cast("long")))
@@ -123,9 +124,7 @@ def judged(
     )
 
 
-#: DuckDB SQL for ``judged`` with the default limits; it still counts documents that share the
-#: first of their other lines, by digest, as one, and differs from ``judged`` where these are
-#: distinct (README)
+#: DuckDB SQL for ``judged`` with the default limits
 ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d)),
@@ -133,15 +132,13 @@ g AS (SELECT r, i, word, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3
 c AS (SELECT r, i, count(*) OVER (PARTITION BY r, word, w2, w3) AS k FROM g WHERE w3 IS NOT NULL),
 p AS (SELECT r, count(DISTINCT i + j) AS n FROM (SELECT r, i, unnest([0, 1, 2]) AS j FROM c WHERE k > 1) GROUP BY r),
 n AS (SELECT r, count(*) AS n FROM w GROUP BY r),
-l AS (SELECT r, host, line, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS norm,
+l AS (SELECT r, host, i, line, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS norm,
       len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
-      FROM (SELECT r, host, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-u AS (SELECT r, count(*) - count(DISTINCT line) AS dup, list_sort(list_distinct(list(md5(norm)))) AS ms FROM l GROUP BY r),
-f AS (SELECT l.r, host, norm, words, coalesce(CASE WHEN md5(norm) = ms[1] THEN ms[2] ELSE ms[1] END, '') AS family FROM l JOIN u USING (r)),
-h AS (SELECT host, count(*) AS documents FROM d GROUP BY host),
-q AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT family) AS k FROM f GROUP BY host, norm) JOIN h USING (host)
-      WHERE k > 20 AND k > 0.05 * documents),
-x AS (SELECT r, sum(words) AS gone FROM f JOIN q USING (host, norm) GROUP BY r),
+      FROM (SELECT r, host, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT r, host, string_split(t, chr(10)) AS ls FROM d))
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+u AS (SELECT r, count(*) - count(DISTINCT line) AS dup, md5(string_agg(norm, chr(10) ORDER BY i)) AS document FROM l GROUP BY r),
+q AS (SELECT host, norm FROM l JOIN u USING (r) GROUP BY host, norm HAVING count(DISTINCT document) > 20),
+x AS (SELECT r, sum(words) AS gone FROM l JOIN q USING (host, norm) GROUP BY r),
 s AS (SELECT d.doc_id, d.t, coalesce(n.n, 0) AS n_words, coalesce(u.dup, 0) AS dup, coalesce(p.n, 0) AS rep, coalesce(x.gone, 0) AS gone
       FROM d LEFT JOIN n USING (r) LEFT JOIN u USING (r) LEFT JOIN p USING (r) LEFT JOIN x USING (r))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words,

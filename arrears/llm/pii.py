@@ -247,13 +247,14 @@ def _name(key: bytes, kind: str, entity: str, attempt: int) -> str:
         # a family name draws alike after any title and given name
         # and stays while other given names are tried
         last = i == len(parts) - 1
-        turn = attempt if len(parts) == 1 else attempt // 4
+        turn = attempt if len(parts) == 1 else attempt // 2
         pick = _stream(key, "family", part, str(turn)) if last else _stream(key, kind, entity, str(attempt), str(i))
         if i == 0 and len(parts) > 1:
             names = GIVEN_NAMES[(gender, script)] if gender != "u" else GIVEN_NAMES[("m", script)] + GIVEN_NAMES[("f", script)]
             out.append(names[_number(key, len(names), kind, entity, str(attempt))])
         else:
-            count = 2 + (len(part) > 6) + (turn if last else attempt) // 4
+            # each failed draw makes room for sixteen times as many names
+            count = 2 + (len(part) > 6) + (turn if last else attempt // 2)
             out.append("".join(_SYLLABLES[script][next(pick) % 16] for _ in range(count)).capitalize())
         if part.isupper():
             out[-1] = out[-1].upper()
@@ -315,7 +316,7 @@ def entities(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(work, "kind string, entity string").distinct()
 
 
-def collisions(known: DataFrame, key: str, max_rounds: int = 20) -> DataFrame:
+def collisions(known: DataFrame, key: str, max_rounds: int = 60) -> DataFrame:
     """``(kind, entity, attempt)`` of the entities whose first surrogate is not theirs alone.
 
     ``known(kind, entity)`` are the distinct entities.  A draw fails if it equals an original

@@ -98,6 +98,21 @@ def test_documents_that_share_two_lines_count_each(spark):
     assert {r.n_removed_words for r in found if r.doc_id >= 100} == {0}
 
 
+def test_copies_of_one_document_do_not_hide_a_banner(spark):
+    rows = [(k, f"banner of the host\n{prose(900 + k, 8)}\nits second line too", "host") for k in range(40)]
+    rows += [(1000 + k, prose(3, 60), "host") for k in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = line_rules.judged(df).collect()
+    assert {r.n_removed_words for r in found if r.doc_id < 1000} == {8}
+    assert {r.kept for r in found if r.doc_id < 1000} == {False} and {r.kept for r in found if r.doc_id >= 1000} == {True}
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    want = con.execute(line_rules.ORACLE)
+    columns = [d[0] for d in want.description]
+    assert sorted(str(tuple(r[c] for c in columns)) for r in found) == sorted(map(str, want.fetchall()))
+    assert {r.n_removed_words for r in line_rules.judged(df, max_share=0.99).collect()} == {0}
+
+
 def test_line_rules_run_no_python(spark):
     plan = line_rules.statistics(odd(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -184,6 +199,16 @@ def test_colliding_names_are_drawn_again(spark, monkeypatch):
         want = got
 
 
+def test_many_distinct_names_settle(spark):
+    """More names than the first draws have room for: all get surrogates of their own."""
+    parts = [f"{a}{b}{c}{d}" for a in ("Ka", "Lu", "Mo", "Ri") for b in "bdfglmnrst" for c in "aeiou" for d in ("d", "lan", "ner", "vik")]
+    names = [f"{g} {n}" for g in ("Olaf", "Bertram", "Ivo", "Quentin", "Ulf") for n in parts]
+    found = spark.createDataFrame([("name_m", n) for n in names], "kind string, entity string")
+    tries = {r.entity: r.attempt for r in pii.collisions(found, "key").collect()}
+    new = {pii.surrogate(b"key", "name_m", n, tries.get(n, 0)) for n in names}
+    assert len(new) == len(names) == 4000 and not new & set(names)
+
+
 # --- classifiers
 
 
