@@ -8,9 +8,12 @@ and error e = y - f:
     s' = s + gamma*e
 
 For fixed (alpha, beta, gamma, phi) the errors are linear in the initial
-level, trend and season, so those are solved by least squares; the smoothing
-parameters come from a grid.  The part that depends on the parameters only is
-shared by all series of one length.
+level, trend and season, so those are solved by least squares for every
+candidate of a grid; the part that depends on the parameters only is shared by
+all series of one length.  From its best candidates each series then goes down
+to the least sum of squares by damped Gauss-Newton steps over parameters and
+initial states together, all series of a block at once: a first look from the
+best candidates of several alphas, and on to the bottom from the best of those.
 """
 
 from __future__ import annotations
@@ -28,8 +31,14 @@ BETAS = (0.01, 0.1, 0.3, 0.6, 0.9)
 GAMMAS = (0.01, 0.1, 0.25, 0.5)
 PHIS = (0.8, 0.9, 0.95, 0.98)
 
+#: Bounds of (alpha, beta, gamma, phi) for the descent; gamma also stays below 1 - alpha.
+LOWEST = (1e-4, 1e-4, 1e-4, 0.8)
+HIGHEST = (0.999, 0.9999, 0.9998, 0.98)
+
 #: Series handled at once, which bounds the memory of a task.
-_CHUNK = 64
+_CHUNK = 256
+#: Valleys followed to the bottom, steps, the gains that end a first look and the descent.
+_VALLEYS, _STEPS, _GLANCE, _ENOUGH = 3, 40, 1e-3, 1e-5
 
 
 @lru_cache(maxsize=2)
@@ -87,11 +96,101 @@ def _start_basis(n: int, seasonal: bool):
     return solve, np.ascontiguousarray(np.swapaxes(left, 1, 2))
 
 
+def slopes(y, params, start, seasonal):
+    """One-step errors and their derivatives by the four parameters and the initial states.
+
+    ``y`` is (series, time), ``params`` (series, 4), ``start`` (series, states).
+    Returns (time, series) and (time, 4 + states, series).
+    """
+    alpha, beta, gamma, phi = params.T
+    size = 4 + start.shape[1]
+    level, trend = start[:, 0], start[:, 1]
+    by_level, by_trend = np.zeros((size, len(y))), np.zeros((size, len(y)))
+    by_level[4], by_trend[5] = 1.0, 1.0
+    seasons, by_season = [], []
+    for j in range(K.SEASON if seasonal else 0):
+        seasons.append(start[:, 2 + j])
+        by_season.append(np.zeros((size, len(y))))
+        by_season[j][6 + j] = 1.0
+    out = np.empty((y.shape[1], len(y)))
+    by = np.empty((y.shape[1], size, len(y)))
+    for t in range(y.shape[1]):
+        slot = t % K.SEASON
+        base, by_base = level + phi * trend, by_level + phi * by_trend
+        by_base[3] += trend
+        e, by_e = y[:, t] - base, -by_base
+        if seasonal:
+            e, by_e = e - seasons[slot], by_e - by_season[slot]
+        by_level, by_trend = by_base + alpha * by_e, phi * by_trend + alpha * beta * by_e
+        by_level[0] += e
+        by_trend[0] += beta * e
+        by_trend[1] += alpha * e
+        by_trend[3] += trend
+        level, trend = base + alpha * e, phi * trend + alpha * beta * e
+        if seasonal:
+            seasons[slot] = seasons[slot] + gamma * e
+            by_season[slot] = by_season[slot] + gamma * by_e
+            by_season[slot][2] += e
+        out[t], by[t] = e, by_e
+    return out, by
+
+
+def descend(y, params, start, seasonal, enough=_ENOUGH):
+    """``(params, start, sse)`` at the bottom of each series' valley, within the bounds.
+
+    Damping rises where a step did not help and falls where it did; a
+    parameter at a bound stays there while the slope points outwards.
+    """
+    low, high = np.array(LOWEST), np.array(HIGHEST)
+    point = np.concatenate([np.clip(params, low, high), start], axis=1)
+    if not seasonal:
+        point[:, 2] = 0.0
+    damping = np.full(len(y), 1e-2)
+    e, by = slopes(y, point[:, :4], point[:, 4:], seasonal)
+    sse = (e**2).sum(axis=0)
+    live = np.arange(len(y))
+    for _ in range(_STEPS):
+        j = by[:, :, live].transpose(2, 1, 0)
+        grade = (j @ e[:, live].T[:, :, None])[:, :, 0]
+        square = j @ j.transpose(0, 2, 1)
+        here = point[live]
+        top = np.broadcast_to(high, (len(live), 4)).copy()
+        top[:, 2] = np.maximum(low[2], np.minimum(top[:, 2], 0.9999 - here[:, 0]))
+        held = np.zeros(grade.shape, dtype=bool)
+        held[:, :4] = ((here[:, :4] <= low) & (grade[:, :4] > 0)) | ((here[:, :4] >= top) & (grade[:, :4] < 0))
+        if not seasonal:
+            held[:, 2] = True
+        square[held[:, :, None] | held[:, None, :]] = 0.0
+        diagonal = np.einsum("kii->ki", square)  # a view
+        scale = np.maximum(diagonal.max(axis=1, keepdims=True) * 1e-12, 1e-30)
+        diagonal += damping[live, None] * diagonal + scale
+        diagonal[held] = 1.0
+        step = np.linalg.solve(square, np.where(held, 0.0, -grade)[:, :, None])[:, :, 0]
+        there = here + step
+        there[:, :4] = np.clip(there[:, :4], low, high)
+        there[:, 2] = np.clip(there[:, 2], low[2], np.maximum(low[2], 0.9999 - there[:, 0])) if seasonal else 0.0
+        e_there, by_there = slopes(y[live], there[:, :4], there[:, 4:], seasonal)
+        sse_there = (e_there**2).sum(axis=0)
+        better = sse_there < sse[live]  # not so for values out of range
+        gain = np.where(better, sse[live] - sse_there, 0.0) / np.maximum(sse[live], 1e-300)
+        won = live[better]
+        point[won], sse[won] = there[better], sse_there[better]
+        e[:, won], by[:, :, won] = e_there[:, better], by_there[:, :, better]
+        damping[live] = np.where(better, np.maximum(damping[live] / 4, 1e-10), damping[live] * 5)
+        live = live[np.where(better, gain > enough, damping[live] < 1e6)]
+        if not len(live):
+            break
+    return point[:, :4], point[:, 4:], sse
+
+
 def fit(y: np.ndarray) -> dict[str, np.ndarray]:
-    """Best candidate and final states for series of one common length."""
+    """Least squares parameters and final states for series of one common length."""
     count, n = y.shape
     seasonal = n >= K.SEASONAL_FROM
     grid = candidates(seasonal)
+    # where to start from: the best candidate of every alpha, of short series of every alpha and beta
+    kinds = grid[:, 0] if seasonal else grid[:, 0] + 1j * grid[:, 1]
+    groups = np.unique(kinds)[:, None] == kinds
     solve, basis = _start_basis(n, seasonal)
     none = [np.zeros(())] * K.SEASON if seasonal else []
     parts = []
@@ -102,10 +201,16 @@ def fit(y: np.ndarray) -> dict[str, np.ndarray]:
         by_candidate = np.ascontiguousarray(np.moveaxis(free, 2, 0))  # candidate, time, series
         explained = basis @ by_candidate
         sse = ((by_candidate**2).sum(axis=1) - (explained**2).sum(axis=1)).T
-        best = np.argmin(sse, axis=1)
+        own = np.stack([np.where(a, sse, np.inf).argmin(axis=1) for a in groups])  # start, series
         pick = np.arange(len(block))
-        start = -np.einsum("kst,tk->ks", solve[best], free[:, pick, best])
-        chosen = [grid[best, i] for i in range(4)]
+        first, who = own.reshape(-1), np.tile(pick, len(own))
+        start = -np.einsum("kst,tk->ks", solve[first], free[:, who, first])
+        params, start, sse = descend(block[who], grid[first], start, seasonal, _GLANCE)
+        near = np.argsort(sse.reshape(len(own), -1), axis=0, kind="stable")[:_VALLEYS] * len(block) + pick
+        near, who = near.reshape(-1), np.tile(pick, _VALLEYS)
+        params, start, sse = descend(block[who], params[near], start[near], seasonal)
+        best = sse.reshape(_VALLEYS, -1).argmin(axis=0) * len(block) + pick
+        chosen, start = [params[best, i] for i in range(4)], start[best]
         season = [start[:, 2 + j] for j in range(K.SEASON)] if seasonal else []
         resid, level, trend, season = errors(block, chosen, start[:, 0], start[:, 1], season)
         # season that applies to the months after the last one, in order

@@ -121,3 +121,29 @@ def test_weekly_refresh_end_to_end(spark, tmp_path):
     assert {r.computed_on for r in spark.table("client_scores").collect()} == {"2026-06-11"}
     for t in ("invoices", "client_scores"):
         spark.sql(f"DROP TABLE {t}")
+
+
+def test_of_two_interleaved_swaps_one_is_refused(spark, tmp_path):
+    name, root = "raced_rows", str(tmp_path / "raced")
+    tables.swap_table(spark, name, spark.range(3), root)
+    seen = tables.location(spark, name)
+    tables.swap_table(spark, name, spark.range(5), root, seen=seen)
+    with pytest.raises(tables.ChangedMeanwhile):
+        tables.swap_table(spark, name, spark.range(9), root, seen=seen)
+    assert spark.table(name).count() == 5
+    # both read the same version and one is past the check already
+    folder = tables._Folder(spark, f"{root}/{name}")
+    assert folder.claim("after-" + tables.location(spark, name).rsplit("/", 1)[-1])
+    with pytest.raises(tables.ChangedMeanwhile):
+        tables.swap_table(spark, name, spark.range(9), root)
+    assert spark.table(name).count() == 5
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_old_versions_go(spark, tmp_path):
+    name, root = "versioned_rows", str(tmp_path / "versions")
+    for n in range(1, 6):
+        tables.swap_table(spark, name, spark.range(n), root, keep_versions=2)
+        assert spark.table(name).count() == n
+    assert len(list((tmp_path / "versions" / name).glob("v-*"))) == 2
+    spark.sql(f"DROP TABLE {name}")
