@@ -9,6 +9,8 @@ from pyspark.sql import Column, functions as F, types as T
 _TIME = r"(?:[ T]+\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?(?: ?[AaPp]\.?[Mm]\.?)?(?:Z|[+-]\d{2}:?\d{2})?)?"
 #: day, month and year of four or two digits between slashes, hyphens or dots
 _DAY_FIRST = rf"^(\d{{1,2}})([/.-])(\d{{1,2}})\2(\d{{4}}|\d{{2}}){_TIME}$"
+#: between the parts of a date that was recognised
+_MARK = "\x1f"
 #: year, month and day
 _YEAR_FIRST = rf"^(\d{{4}})([/.-])(\d{{1,2}})\2(\d{{1,2}}){_TIME}$"
 
@@ -23,15 +25,11 @@ def mixed_date(c: Column, iso_text: bool = True) -> Column:
     lost.  The rule looks at one row at a time, never at the rest of the
     column.
     """
-    t = F.trim(c)
-
-    def parts(pattern: str, groups: tuple[int, int, int]) -> Column:
-        day, month, year = (F.regexp_extract(t, pattern, g) for g in groups)
-        full = F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year)
-        return F.when(t.rlike(pattern), F.try_to_date(F.concat_ws("/", day, month, full), "d/M/yyyy"))
-
-    day_first = parts(_DAY_FIRST, (1, 3, 4))
-    return F.coalesce(day_first, parts(_YEAR_FIRST, (4, 3, 1))) if iso_text else day_first
+    # each rule rewrites its text once, to day, month and year between marks that no spelling has
+    text = F.regexp_replace(F.trim(c), _DAY_FIRST, f"$1{_MARK}$3{_MARK}$4")
+    if iso_text:
+        text = F.regexp_replace(text, _YEAR_FIRST, f"$4{_MARK}$3{_MARK}$1")
+    return F.try_to_date(text, f"d{_MARK}M{_MARK}[yyyy][yy]")
 
 
 def as_date(c: Column, data_type: T.DataType, iso_text: bool = True) -> Column:
