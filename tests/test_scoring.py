@@ -76,6 +76,33 @@ def test_exact_quantiles_by_group(spark):
         assert r.q3 == pytest.approx(np.quantile(group, 0.75))
 
 
+def test_exact_quantiles_of_values_close_together(spark):
+    rng = random.Random(6)
+    values = [1e6 + rng.random() * 1e-6 for _ in range(20000)] + [-1e300, 1e300]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    row = quantiles.exact_quantiles(df, "v", {"p10": 0.1, "p50": 0.5, "p99": 0.99}).first()
+    assert [row.p10, row.p50, row.p99] == pytest.approx(np.quantile(values, [0.1, 0.5, 0.99]).tolist(), rel=1e-15)
+
+
+def test_cuts_deal_clustered_values_evenly(spark):
+    values = [0.0, 1e9] + [5.0 + i * 1e-9 for i in range(20 * quantiles.SLICES)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    shares = [i / quantiles.SLICES for i in range(1, quantiles.SLICES)]
+    edges = df.select(F.percentile_approx("v", F.lit(shares), quantiles.CUT_ACCURACY).alias("c")).first().c
+    cuts = F.lit(edges)
+    held = df.groupBy(quantiles.cuts_below(cuts, F.col("v")).alias("s")).count().collect()
+    assert len(held) == quantiles.SLICES and max(r["count"] for r in held) <= 40
+    got = {r.v: r.s for r in df.select("v", quantiles.cuts_below(cuts, F.col("v")).alias("s")).collect()}
+    assert got == {v: int(np.searchsorted(edges, v)) for v in values}
+
+
+def test_quantiles_order_infinite_amounts_and_pass_over_nan(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(v,) for v in [inf, inf, inf, 1.0, -inf, nan, None]], "v double")
+    row = quantiles.exact_quantiles(df, "v", {"low": 0.0, "p25": 0.25, "p75": 0.75, "high": 1.0}).first()
+    assert [row.low, row.p25, row.p75, row.high] == [-inf, 1.0, inf, inf]
+
+
 def test_quantiles_of_nothing_are_null(spark):
     df = spark.createDataFrame([], "v double")
     assert quantiles.exact_quantiles(df, "v", {"m": 0.5}).first().m is None
