@@ -31,6 +31,9 @@ BETAS = (0.01, 0.1, 0.3, 0.6, 0.9)
 GAMMAS = (0.01, 0.1, 0.25, 0.5)
 PHIS = (0.8, 0.9, 0.95, 0.98)
 
+#: Candidates (alpha, beta, phi) of the fold over arrays (:func:`arrears.operators.forecast.fit_by_fold`).
+FOLD_GRID = tuple(product(ALPHAS, (0.01, 0.1, 0.3), (0.8, 0.98)))
+
 #: Bounds of (alpha, beta, gamma, phi) for the descent; gamma also stays below 1 - alpha.
 LOWEST = (1e-4, 1e-4, 1e-4, 0.8)
 HIGHEST = (0.999, 0.9999, 0.9998, 0.98)

@@ -98,6 +98,90 @@ def fit_arrays(arrays: DataFrame) -> DataFrame:
     )
 
 
+def _fold(amounts: Column, candidate: Column) -> Column:
+    """Sums and last states of one candidate over the months, for any initial level and trend.
+
+    The one-step forecasts are linear in both initial values: ``a`` runs from
+    zero over the amounts, ``u`` and ``v`` run from level 1 and trend 1 over
+    zeros.  ``f`` is the next forecast, ``g`` the damped trend in it.
+    """
+    alpha, carry, phi = candidate["alpha"], candidate["alpha"] * candidate["beta"], candidate["phi"]
+    zero, one = F.lit(0.0), F.lit(1.0)
+    start = F.struct(
+        zero.alias("fa"), zero.alias("ga"), one.alias("fu"), zero.alias("gu"), phi.alias("fv"), phi.alias("gv"),
+        *[zero.alias(s) for s in ("aa", "au", "av", "uu", "uv", "vv")],
+    )
+
+    def step(s: Column, y: Column) -> Column:
+        e = y - s["fa"]
+        ga = phi * (s["ga"] + carry * e)
+        gu = phi * (s["gu"] - carry * s["fu"])
+        gv = phi * (s["gv"] - carry * s["fv"])
+        return F.struct(
+            (s["fa"] + alpha * e + ga).alias("fa"), ga.alias("ga"),
+            (s["fu"] - alpha * s["fu"] + gu).alias("fu"), gu.alias("gu"),
+            (s["fv"] - alpha * s["fv"] + gv).alias("fv"), gv.alias("gv"),
+            (s["aa"] + e * e).alias("aa"), (s["au"] + e * s["fu"]).alias("au"), (s["av"] + e * s["fv"]).alias("av"),
+            (s["uu"] + s["fu"] * s["fu"]).alias("uu"), (s["uv"] + s["fu"] * s["fv"]).alias("uv"),
+            (s["vv"] + s["fv"] * s["fv"]).alias("vv"),
+        )
+
+    return F.aggregate(amounts, start, step)
+
+
+def _solved(candidate: Column, s: Column) -> Column:
+    """The candidate with its least-squares initial states: ``sse`` first, so that the least struct wins."""
+    det = s["uu"] * s["vv"] - s["uv"] * s["uv"]
+    both = det > F.lit(1e-12) * s["uu"] * s["vv"]
+    level = F.when(both, (s["au"] * s["vv"] - s["av"] * s["uv"]) / det).otherwise(s["au"] / s["uu"])
+    trend = F.when(both, (s["av"] * s["uu"] - s["au"] * s["uv"]) / det).otherwise(0.0)
+
+    def finished(start: Column) -> Column:
+        f = s["fa"] + start["l"] * s["fu"] + start["b"] * s["fv"]
+        g = s["ga"] + start["l"] * s["gu"] + start["b"] * s["gv"]
+        return F.struct(
+            F.greatest(s["aa"] - start["l"] * s["au"] - start["b"] * s["av"], F.lit(0.0)).alias("sse"),
+            candidate["alpha"].alias("alpha"), candidate["beta"].alias("beta"), candidate["phi"].alias("phi"),
+            (f - g).alias("level"), (g / candidate["phi"]).alias("trend"),
+        )
+
+    return F.get(F.transform(F.array(F.struct(level.alias("l"), trend.alias("b"))), finished), F.lit(0))
+
+
+def fit_by_fold(
+    arrays: DataFrame, grid: tuple[tuple[float, float, float], ...] = smoothing.FOLD_GRID
+) -> DataFrame:
+    """Non-seasonal fits by a fold over each month array, with built-in expressions only.
+
+    Every candidate (alpha, beta, phi) passes over the months once, carrying
+    level, trend and the sums of the least-squares problem of its initial
+    states; the least sum of squares wins, ties go to the smaller parameters.
+    No Python worker and no shuffle.  Columns as :func:`fit_arrays`; arrays of
+    three months at least, without NULLs.
+    """
+    candidates = F.expr("array(%s)" % ", ".join(
+        f"named_struct('alpha', {a!r}D, 'beta', {b!r}D, 'phi', {p!r}D)" for a, b, p in grid
+    ))
+
+    def tried(c: Column) -> Column:
+        states = F.array(_fold(F.col("amounts"), c))
+        return F.get(F.transform(states, lambda s: _solved(c, s)), F.lit(0))
+
+    n = F.size("amounts")
+    n_params = F.lit(3 + 2)
+    sse = F.col("fit.sse")
+    # a fold for each candidate is dear: the winner must not be computed again for each of its fields
+    winner = F.array(F.array_min(F.transform(candidates, tried)))
+    return arrays.select(
+        "series_key", "last_month", n.alias("n_months"), F.explode(winner).alias("fit")
+    ).select(
+        "series_key", "last_month", "n_months", n_params.alias("n_params"),
+        "fit.alpha", "fit.beta", F.lit(0.0).alias("gamma"), "fit.phi", "fit.level", "fit.trend", "fit.sse",
+        F.lit(None).cast("array<double>").alias("season"),
+        (F.col("n_months") * F.ln(F.when(sse > 0, sse) / F.col("n_months")) + 2 * n_params).alias("aic"),
+    )
+
+
 def _damping(h: int) -> Column:
     """phi + phi^2 + ... + phi^h"""
     total = F.col("phi")
@@ -173,13 +257,15 @@ def short_series(arrays: DataFrame) -> DataFrame:
     )
 
 
-def forecast(monthly: DataFrame, n_partitions: int | None = None) -> DataFrame:
+def forecast(monthly: DataFrame, n_partitions: int | None = None, seasonal: bool = True) -> DataFrame:
     """Every key: smoothing from three months on, the weighted-mean projection below.
 
-    ``method`` says which of the two.
+    ``method`` says which of the two.  ``seasonal=False`` fits by a fold inside
+    the JVM (:func:`fit_by_fold`), without a yearly season.
     """
     arrays = spread_arrays(monthly, n_partitions)
-    long = bands(fit_arrays(arrays.where(F.size("amounts") >= SHORTEST)))
+    fit = fit_arrays if seasonal else fit_by_fold
+    long = bands(fit(arrays.where(F.size("amounts") >= SHORTEST)))
     short = short_series(arrays.where(F.size("amounts") < SHORTEST))
     return long.withColumn("method", F.lit("smoothing")).unionByName(
         short.withColumn("method", F.lit("weighted mean"))

@@ -808,6 +808,26 @@ def forecast_bands(spark, sf_dir):
     return forecast.bands(fits)
 
 
+def _cents_by_client(spark, sf_dir):
+    # sums of money differ in their last bits with the order of the rows
+    return rounded(_by_client(spark, sf_dir), 2, "amount")
+
+
+@query
+def folded_fits(spark, sf_dir):
+    """Non-seasonal smoothing per client by a fold over its months."""
+    arrays = forecast.spread_arrays(_cents_by_client(spark, sf_dir))
+    out = forecast.fit_by_fold(arrays.where(F.size("amounts") >= forecast.SHORTEST))
+    out = out.select("series_key", "last_month", "n_months", "alpha", "beta", "phi", "level", "trend", "sse", "aic")
+    return rounded(rounded(rounded(out, 2, "level", "trend"), 0, "sse"), 4, "aic")
+
+
+@query
+def folded_forecast(spark, sf_dir):
+    """Forecasts of every client without a yearly season."""
+    return forecast.forecast(_cents_by_client(spark, sf_dir), seasonal=False)
+
+
 @query
 def cash_projection_total(spark, sf_dir):
     """Expected amount of each client over the projected months."""

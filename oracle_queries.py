@@ -229,6 +229,44 @@ def series(prefix: str, source: str, key: str) -> str:
 PROJECTED = f"""series_key, h, month, {r("amount")} AS amount,
   {r("greatest(amount - spread, 0)")} AS low, {r("amount + spread")} AS high"""
 
+#: a fold over the months of each client and candidate; CTEs from ``cents`` to ``fitted``
+FOLDED = f"""{INV}, {MONTHLY.format(key="client", source="inv")},
+cents AS (SELECT series_key, month, {r("amount")} AS amount FROM monthly), {FILL.format(src="cents")},
+points AS (
+  SELECT series_key, amount AS y, row_number() OVER (PARTITION BY series_key ORDER BY month) AS t FROM filled
+),
+lengths AS (SELECT series_key, count(*) AS n, max(month) AS last_month FROM filled GROUP BY series_key),
+grid AS (
+  SELECT alpha, beta, phi FROM
+    (SELECT unnest([0.02, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9]::DOUBLE[]) AS alpha),
+    (SELECT unnest([0.01, 0.1, 0.3]::DOUBLE[]) AS beta), (SELECT unnest([0.8, 0.98]::DOUBLE[]) AS phi)
+),
+fold(series_key, alpha, beta, phi, t, fa, ga, fu, gu, fv, gv, aa, au, av, uu, uv, vv) AS (
+  SELECT series_key, alpha, beta, phi, 0::BIGINT, 0::DOUBLE, 0::DOUBLE, 1::DOUBLE, 0::DOUBLE, phi, phi,
+         0::DOUBLE, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE
+  FROM lengths, grid WHERE n >= 3
+  UNION ALL
+  SELECT series_key, alpha, beta, phi, t, fa + alpha * e + ga2, ga2, fu - alpha * fu + gu2, gu2,
+         fv - alpha * fv + gv2, gv2, aa + e * e, au + e * fu, av + e * fv, uu + fu * fu, uv + fu * fv, vv + fv * fv
+  FROM (
+    SELECT f.* EXCLUDE (t), p.t, y - fa AS e, phi * (ga + alpha * beta * (y - fa)) AS ga2,
+           phi * (gu - alpha * beta * fu) AS gu2, phi * (gv - alpha * beta * fv) AS gv2
+    FROM fold f JOIN points p ON p.series_key = f.series_key AND p.t = f.t + 1
+  )
+),
+solved AS (
+  SELECT *, uu * vv - uv * uv > 1e-12::DOUBLE * uu * vv AS two,
+         CASE WHEN two THEN (au * vv - av * uv) / (uu * vv - uv * uv) ELSE au / uu END AS l,
+         CASE WHEN two THEN (av * uu - au * uv) / (uu * vv - uv * uv) ELSE 0 END AS b
+  FROM fold JOIN lengths USING (series_key) WHERE t = n
+),
+fitted AS (
+  SELECT series_key, last_month, n, alpha, beta, phi, greatest(aa - l * au - b * av, 0) AS sse,
+         fa + l * fu + b * fv - (ga + l * gu + b * gv) AS level, (ga + l * gu + b * gv) / phi AS trend,
+         row_number() OVER (PARTITION BY series_key ORDER BY sse, alpha, beta, phi) AS place
+  FROM solved
+)"""
+
 PENDING = f"""{INV},
 pending AS (
   SELECT invoice_id, client, invoice_date, concept, total,
@@ -612,6 +650,27 @@ SELECT series_key, {r("sum(amount)")} AS expected_total FROM proj GROUP BY serie
 SELECT series_key, h, strftime(month, '%Y-%m') AS month, {r("amount")} AS expected,
   {r("greatest(amount - spread, 0)")} AS p10, {r("amount + spread")} AS p90, 'weighted mean' AS method
 FROM proj WHERE series_key IN (SELECT series_key FROM stats WHERE n_months < 3)"""),
+    "folded_fits": f"""WITH RECURSIVE {FOLDED.strip()}
+SELECT series_key, last_month, CAST(n AS INTEGER) AS n_months, alpha, beta, phi, {r("level")} AS level,
+  {r("trend")} AS trend, {r("sse", 0)} AS sse,
+  {r("CASE WHEN sse > 0 THEN n * ln(sse / n) + 10 END", 4)} AS aic
+FROM fitted WHERE place = 1""",
+    "folded_forecast": f"""WITH RECURSIVE {FOLDED.strip()}, {WINDOW}, {PROJECT},
+ahead AS (
+  SELECT *, CASE h WHEN 1 THEN phi WHEN 2 THEN phi + phi * phi ELSE phi + phi * phi + phi * phi * phi END AS damp,
+    CASE h WHEN 1 THEN 1 WHEN 2 THEN sqrt(1 + power(alpha * (1 + beta * phi), 2))
+      ELSE sqrt(1 + power(alpha * (1 + beta * phi), 2) + power(alpha * (1 + beta * (phi + phi * phi)), 2)) END
+      * 1.2815515655446004 * sqrt(sse / n) AS band
+  FROM fitted, range(1, 4) t(h) WHERE place = 1
+)
+SELECT series_key, CAST(h AS INTEGER) AS h, strftime(last_month + to_months(CAST(h AS INTEGER)), '%Y-%m') AS month,
+  {r("greatest(level + damp * trend, 0)")} AS expected, {r("greatest(level + damp * trend - band, 0)")} AS p10,
+  {r("greatest(level + damp * trend + band, 0)")} AS p90, 'smoothing' AS method
+FROM ahead
+UNION ALL
+SELECT series_key, h, strftime(month, '%Y-%m'), {r("amount")}, {r("greatest(amount - spread, 0)")},
+  {r("amount + spread")}, 'weighted mean'
+FROM proj WHERE series_key IN (SELECT series_key FROM stats WHERE n_months < 3)""",
     "forecast_clients": with_(
         f"{INV}, {MONTHLY.format(key='client', source='inv')}, {FILL.format(src='monthly')}", """
 SELECT series_key, CASE WHEN count(*) < 3 THEN 'weighted mean' ELSE 'smoothing' END AS method,

@@ -175,3 +175,33 @@ def test_short_series_are_projected_by_their_mean(spark):
     mean = (10 + 20 * math.e) / (1 + math.e)
     assert by_key["two"][0].expected == pytest.approx(mean + 10, abs=0.01)
     assert forecast.fit_series(monthly(spark, points)).count() == 1
+
+
+def test_fold_finds_the_least_squares_of_its_grid(spark):
+    rng = np.random.default_rng(8)
+    rows = [(f"k{i}", dt.date(2025, 1, 1), [float(x) for x in 500 + 20 * np.arange(n) + rng.normal(0, 60, n)])
+            for i, n in enumerate([3, 4, 11, 23, 40])]
+    rows += [("flat", dt.date(2025, 1, 1), [0.0] * 6), ("hot", D(2025, 1, 1), [1e9] * 5 + [0.0] * 5)]
+    df = spark.createDataFrame(rows, "series_key string, last_month date, amounts array<double>")
+    fits = forecast.fit_by_fold(df)
+    plan = fits._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+    got = {r.series_key: r for r in fits.collect()}
+    assert set(got) == {k for k, *_ in rows}
+    for key, _, amounts in rows:
+        y = np.array(amounts)
+        tried = []
+        for a, b, p in smoothing.FOLD_GRID:
+            params = [np.float64(v) for v in (a, b, 0.0, p)]
+            effects = [smoothing.errors(0 * y, params, l, t, [])[0] for l, t in ((1.0, 0.0), (0.0, 1.0))]
+            error = smoothing.errors(y, params, 0.0, 0.0, [])[0]
+            start, *_ = np.linalg.lstsq(-np.stack(effects, axis=1), error, rcond=None)
+            e, level, trend, _ = smoothing.errors(y, params, start[0], start[1], [])
+            tried.append((float((e**2).sum()), level, trend, a, b, p))
+        r, scale = got[key], float((y**2).sum()) or 1.0
+        best = min(tried)
+        assert r.sse == pytest.approx(best[0], rel=1e-6, abs=1e-12 * scale)
+        own = next(t for t in tried if t[3:] == (r.alpha, r.beta, r.phi))
+        assert (r.level, r.trend) == pytest.approx(own[1:3], rel=1e-5, abs=1e-6 * scale**0.5)
+        assert r.n_params == 5 and r.season is None
+        assert (r.aic is None) == (r.sse == 0)
