@@ -181,7 +181,7 @@ def test_fold_finds_the_least_squares_of_its_grid(spark):
     rng = np.random.default_rng(8)
     rows = [(f"k{i}", dt.date(2025, 1, 1), [float(x) for x in 500 + 20 * np.arange(n) + rng.normal(0, 60, n)])
             for i, n in enumerate([3, 4, 11, 23, 40])]
-    rows += [("flat", dt.date(2025, 1, 1), [0.0] * 6), ("hot", D(2025, 1, 1), [1e9] * 5 + [0.0] * 5)]
+    rows += [("flat", dt.date(2025, 1, 1), [0.0] * 6), ("hot", dt.date(2025, 1, 1), [1e9] * 5 + [0.0] * 5)]
     df = spark.createDataFrame(rows, "series_key string, last_month date, amounts array<double>")
     fits = forecast.fit_by_fold(df)
     plan = fits._jdf.queryExecution().executedPlan().toString()
