@@ -8,7 +8,7 @@ import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from arrears.deploy import ship
 from arrears.sources.staging import fresh_path
@@ -29,6 +29,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: equal rows that one task makes again from their count
+CHUNK = 1 << 16
+
+
+def numbered(rows: DataFrame, name: str, chunk: int = CHUNK) -> DataFrame:
+    """``rows`` with a column ``name`` that numbers equal rows from 0; nulls are equal.
+
+    Equal rows are summed to a count before the shuffle and made again from it, ``chunk`` of
+    them in a task, so that no task holds a row that a third of the table repeats.
+    """
+    counted = rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    few = counted.filter(F.col("__n") <= chunk).withColumn("__from", F.lit(0).cast("long"))
+    many = (
+        counted.filter(F.col("__n") > chunk)
+        .withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(chunk).cast("long"))))
+        .repartition("__from", *[F.col(f"`{c}`") for c in rows.columns])
+    )
+    last = F.least(F.col("__from") + chunk, F.col("__n")) - 1
+    made = few.unionByName(many).withColumn(name, F.explode(F.sequence(F.col("__from"), last)))
+    return made.drop("__n", "__from")
+
+
 #: bytes of an Arrow batch on its way to a Python worker, unless the session asks for less
 BATCH_BYTES = 8 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from arrears.llm.common import WORD, on_executors, written
+from arrears.llm.common import WORD, numbered, on_executors, written
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -158,7 +158,10 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, b
     spark = docs.sparkSession
     on_executors(spark)
     row_hash = F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit("")))
-    rows = written(docs.select("doc_id", "source", words().alias("size"), row_hash.alias("h")), "mix-sizes")
+    sizes = numbered(docs.select("doc_id", "source", words().alias("size"), row_hash.alias("h")), "n")
+    # equal rows are units of their own in different blocks
+    unit = F.when(F.col("n") == 0, F.col("h")).otherwise(F.xxhash64("h", "n"))
+    rows = written(sizes.withColumn("u", unit).drop("n"), "mix-sizes")
     named = written(targets(rows.select("source", "size"), weights, cap), "mix-targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.least(F.floor(rate + TINY), F.lit(cap)).cast("long")
@@ -169,14 +172,14 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, b
         .withColumn("whole", whole)
         .withColumn("p", part)
         .withColumn("blocks", F.ceil(F.col("n_docs") / block))
-        .withColumn("block", F.pmod(F.col("h"), F.col("blocks")))
+        .withColumn("block", F.pmod(F.col("u"), F.col("blocks")))
     )
-    keep = "doc_id long, source string, size long, h long, source_size long, n_docs long, target double, whole long, p double, blocks long, block long"
+    keep = "doc_id long, source string, size long, h long, u long, source_size long, n_docs long, target double, whole long, p double, blocks long, block long"
     names = [c.split()[0] for c in keep.split(", ")]
 
     def move(last: bool):
         def work(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values(["h", "doc_id", "size"], na_position="first", ignore_index=True)
+            group = group.sort_values(["u", "doc_id", "size"], na_position="first", ignore_index=True)
             step = landing if last else flight
             group["p"] = step(group["p"].to_numpy(), group["size"].to_numpy(dtype=float))
             return group[names]
@@ -202,7 +205,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, b
         state = (
             state.filter(open_)
             .withColumn("blocks", F.greatest(F.lit(1), F.ceil(2 * F.col("blocks") / block)))
-            .withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")))
+            .withColumn("block", F.pmod(F.xxhash64("u"), F.col("blocks")))
         )
         level += 1
     every = decided[0]

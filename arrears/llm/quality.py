@@ -45,6 +45,9 @@ LABELLERS = (
     ("not_lower", 0.30, 0.60),
     ("sameness", 0.60, 0.80),
 )
+#: Longer texts repeat more of their words: the number of different ones grows about as the square
+#: root of the length, and beyond this many words the limit of "sameness" follows that.
+SAMENESS_FROM = 400
 #: below this many words the repetition labellers say nothing
 SHORT = 40
 
@@ -85,7 +88,7 @@ def votes(n: int, values: dict[str, float]) -> list[int]:
         if x is None or (about_repeats and n < SHORT):
             out.append(2)
         else:
-            limit = bad if name != "sameness" else bad + 0.1 * (n > 1000)
+            limit = bad if name != "sameness" else 1 - (1 - bad) * min(1.0, (SAMENESS_FROM / n) ** 0.5)
             out.append(0 if x > limit else 1 if x <= good else 2)
     return out
 
@@ -171,14 +174,13 @@ def trained(docs: DataFrame, limit: int = MAX_FITTED) -> tuple[np.ndarray, float
                 ["columns", "good"],
             )
 
-    order = F.xxhash64("doc_id", F.octet_length("text"))
-    some = docs.select("doc_id", "text").withColumn("__h", order)
-    # a fixed number of rows: first the hashes alone, then the texts below the last of them
-    last = some.select("__h").orderBy("__h").limit(limit).agg(F.max("__h"), F.count(F.lit(1))).first()
+    some = docs.select(F.xxhash64("doc_id", "text").alias("__h"), "text")
+    # a fixed number of rows, equal ones counting once: first the hashes alone, then the texts up to the last of them
+    last = some.select("__h").distinct().orderBy("__h").limit(limit).agg(F.max("__h"), F.count(F.lit(1))).first()
     if not last[1]:
         return np.zeros(BUCKETS), 0.0
-    chosen = some.filter(F.col("__h") <= F.lit(last[0])).select("text")
-    rows = chosen.mapInArrow(describe, "columns array<int>, good double").limit(2 * limit).collect()
+    chosen = some.filter(F.col("__h") <= F.lit(last[0])).groupBy("__h").agg(F.min("text").alias("text")).select("text")
+    rows = chosen.mapInArrow(describe, "columns array<int>, good double").collect()
     rows = sorted((list(r["columns"]), r["good"]) for r in rows)
     sparse = Rows.of([np.array(c, dtype=np.int32) for c, _ in rows])
     return fit(sparse, np.array([g for _, g in rows]), BUCKETS, l1=1e-5, l2=1e-4, rounds=300)

@@ -12,7 +12,7 @@ import heapq
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from arrears.llm.common import written
+from arrears.llm.common import numbered, written
 
 SLOTS = 8192
 OVERHEAD = 8
@@ -21,16 +21,19 @@ OVERHEAD = 8
 def sized(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """``(doc_id, size, text_crc32, vslot)``; a null text has no bytes.
 
-    The slot comes from doc_id and the text, so that neither rows without an id nor one
-    repeated id nor one repeated text fill a single slot.
+    The slot comes from doc_id, the text's hashes and, for rows alike in these, their number,
+    so that neither rows without an id nor one repeated id, text or row fill a single slot.
     """
     text = F.coalesce("text", F.lit(""))
-    return docs.select(
+    rows = docs.select(
         "doc_id",
         (F.octet_length(text) + F.lit(OVERHEAD)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", text), F.lit(slots)).cast("int").alias("vslot"),
+        F.xxhash64("doc_id", text).alias("h"),
     )
+    unit = F.when(F.col("n") == 0, F.col("h")).otherwise(F.xxhash64("h", "n"))
+    slot = F.pmod(unit, F.lit(slots)).cast("int").alias("vslot")
+    return numbered(rows, "n").select("doc_id", "size", "text_crc32", slot)
 
 
 def slot_sizes(rows: DataFrame) -> DataFrame:

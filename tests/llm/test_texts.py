@@ -13,6 +13,7 @@ from hypothesis import given, settings, strategies as st
 import corpus_pipeline
 import public_tokenizers
 from arrears.llm import bpe, line_rules, mixing, pii, quality, sharding, simhash, toxicity
+from arrears.llm.common import numbered
 from llm_fixtures import SCHEMA, nothing, odd, odd_rows, prose
 
 SF = "/root/testdata/sf0.001"
@@ -361,6 +362,42 @@ def test_shards_of_odd_rows(spark, tmp_path):
     assert sharding.sharded(nothing(spark), 5, str(tmp_path / "none")).count() == 0
 
 
+def test_equal_rows_are_numbered_in_chunks(spark):
+    rows = [(1, "a")] * 1000 + [(None, "a")] * 7 + [(None, None)] * 300 + [(2, "b")]
+    found = numbered(spark.createDataFrame(rows, "i int, t string").repartition(3), "n", chunk=64).collect()
+    held = {}
+    for r in found:
+        held.setdefault((r.i, r.t), []).append(r.n)
+    assert {k: sorted(v) for k, v in held.items()} == {k: list(range(n)) for k, n in Counter(rows).items()}
+    assert numbered(spark.createDataFrame([], "i int"), "n").count() == 0
+
+
+def test_a_row_that_a_third_of_the_table_repeats(spark, tmp_path):
+    rows = [(5, prose(1, 30), "en", "s", 1, 7, 8, "x", 2)] * 2000
+    rows += [(900 + k, prose(k, 20 + k % 50), "en", "s", 1, 7, 8, "x", 2) for k in range(4000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    found = sharding.sharded(df, 5, str(tmp_path / "map")).collect()
+    sizes, slots = Counter(), Counter()
+    for r in found:
+        sizes[r.shard] += r.size
+        slots[r.vslot] += 1
+    assert len(found) == len(rows) and max(slots.values()) < 20
+    assert max(sizes.values()) < 1.02 * min(sizes.values())
+    mix = mixing.mixed(df, block=64).collect()
+    assert len(mix) == len(rows) and sum(r.doc_id == 5 for r in mix) == 2000
+    target = mix[0].target
+    assert abs(sum(r.taken for r in mix) - target) < 0.001 * target + 70
+
+
+def test_the_limit_of_sameness_has_no_steps():
+    def limit(n):
+        return next(x for x in np.linspace(0.7, 1, 30001) if quality.votes(n, {"sameness": x})[-1] == 0)
+
+    limits = [limit(n) for n in (40, 400, 401, 999, 1000, 1001, 1600, 40000)]
+    assert limits == sorted(limits) and limits[0] == pytest.approx(0.8, abs=1e-4) == limits[1]
+    assert max(limits[2] - limits[1], limits[5] - limits[3]) < 1e-3 and limits[6] == pytest.approx(0.9, abs=1e-4)
+
+
 def test_a_grown_map_moves_slots_into_the_new_shard_only():
     rng = np.random.default_rng(1)
     weights = {v: int(rng.lognormal(6, 1)) for v in range(512)}
