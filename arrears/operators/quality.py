@@ -159,12 +159,15 @@ def refuse_if_broken(df: DataFrame, table: str, guard: Guard, current_rows: int
 # --------------------------------------------------------------------------
 
 
-def fingerprint(df: DataFrame, name: str) -> DataFrame:
-    """Row count and an order-free content hash of one table."""
-    columns = sorted(df.columns)
+def _hash(columns: list[str], *salt: Column) -> Column:
     # the hash passes over NULLs: a mark beside each value tells where they stand
     marked = [part for c in columns for part in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
-    row_hash = F.xxhash64(*marked).cast("decimal(38,0)")
+    return F.xxhash64(*marked, *salt)
+
+
+def fingerprint(df: DataFrame, name: str) -> DataFrame:
+    """Row count and an order-free content hash of one table."""
+    row_hash = _hash(sorted(df.columns)).cast("decimal(38,0)")
     return df.agg(
         F.count("*").alias("n_rows"),
         F.coalesce(F.sum(row_hash), F.lit(0)).cast("decimal(38,0)").alias("content"),
@@ -196,6 +199,52 @@ def reconcile(left: dict[str, DataFrame], right: dict[str, DataFrame]) -> DataFr
     return both.select("table_name", "source_rows", "target_rows", status.alias("status"))
 
 
+def differing_keys(source: DataFrame, target: DataFrame, key: list[str], buckets: int = 4096) -> DataFrame:
+    """The keys whose rows are not the same on both sides: ``key, source_rows, target_rows, status``.
+
+    Rows of the two sides count with opposite signs, so that what is alike
+    cancels out in each sum of hashes.  Sums per bucket of keys, then per bucket
+    within the buckets that are left, tell where the sides differ; only rows of
+    those buckets are summed per key.  Two tables alike cost two small
+    aggregates of one scan each and no shuffle of rows.  Keys may be NULL or
+    repeated: all rows of a key are compared as one set with repetitions.
+    """
+    if sorted(source.columns) != sorted(target.columns):
+        raise ValueError("both sides need the same columns")
+    columns = sorted(source.columns)
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(
+            *[F.col(f"`{k}`") for k in key],
+            (_hash(columns).cast("decimal(38,0)") * sign).cast("decimal(38,0)").alias("_hash"),
+            F.lit(sign).alias("_side"),
+            F.pmod(_hash(key), F.lit(buckets)).alias("_coarse"),
+            F.pmod(_hash(key, F.lit("fine")), F.lit(buckets)).alias("_fine"),
+        )
+
+    def unlike(rows: DataFrame, *by: str) -> DataFrame:
+        sums = rows.groupBy(*[f"`{c}`" for c in by]).agg(
+            F.sum("_hash").alias("_content"),
+            F.count_if(F.col("_side") > 0).alias("source_rows"),
+            F.count_if(F.col("_side") < 0).alias("target_rows"),
+        )
+        return sums.where((F.col("_content") != 0) | (F.col("source_rows") != F.col("target_rows")))
+
+    rows = side(source, 1).unionByName(side(target, -1))
+    coarse = unlike(rows, "_coarse").select("_coarse")
+    # at most ``buckets`` numbers
+    near = rows.join(F.broadcast(coarse), "_coarse", "left_semi")
+    fine = unlike(near, "_coarse", "_fine").select("_coarse", "_fine")
+    left = near.join(fine, ["_coarse", "_fine"], "left_semi")
+    status = (
+        F.when(F.col("target_rows") == 0, "missing in target")
+        .when(F.col("source_rows") == 0, "missing in source")
+        .when(F.col("source_rows") != F.col("target_rows"), "row count differs")
+        .otherwise("content differs")
+    )
+    return unlike(left, *key).select(*[f"`{k}`" for k in key], "source_rows", "target_rows", status.alias("status"))
+
+
 def require_reconciled(report: DataFrame) -> None:
     broken = report.where(F.col("status") != "ok").collect()
     if broken:

@@ -479,6 +479,19 @@ def table_reconciliation(spark, sf_dir):
     return quality.reconcile(source, target)
 
 
+@query
+def changed_order_keys(spark, sf_dir):
+    """The orders that differ from a copy with edited, missing, new and repeated rows."""
+    orders = feed.table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    edited = orders.where(key % 1013 != 0).withColumn(
+        "o_orderstatus", F.when(key % 997 == 0, F.lit(None)).otherwise(F.col("o_orderstatus"))
+    )
+    added = orders.where((key % 1511 == 0) & (key > 0)).withColumn("o_orderkey", -key)
+    repeated = edited.where(key % 2003 == 0)
+    return quality.differing_keys(orders, edited.unionByName(added).unionByName(repeated), ["o_orderkey"])
+
+
 @query
 def guarded_load(spark, sf_dir):
     """Load, replace and refuse: the table after two loads and a bad batch."""

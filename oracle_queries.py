@@ -519,6 +519,17 @@ UNION ALL SELECT 'orders', o.n, o2.n, 'row count differs' FROM o, o2
 UNION ALL SELECT 'part', n, n, 'content differs' FROM p
 UNION ALL SELECT 'supplier', n, NULL, 'missing in target' FROM s
 UNION ALL SELECT 'nation', NULL, n, 'missing in source' FROM na""",
+    "changed_order_keys": """
+SELECT o_orderkey, source_rows, target_rows,
+  CASE WHEN target_rows = 0 THEN 'missing in target' WHEN source_rows = 0 THEN 'missing in source'
+       WHEN target_rows > source_rows THEN 'row count differs' ELSE 'content differs' END AS status
+FROM (
+  SELECT o_orderkey, 1::BIGINT AS source_rows,
+    CASE WHEN o_orderkey % 1013 = 0 THEN 0 WHEN o_orderkey % 2003 = 0 THEN 2 ELSE 1 END::BIGINT AS target_rows,
+    o_orderkey % 997 = 0 AND o_orderstatus IS NOT NULL AS edited
+  FROM orders
+  UNION ALL SELECT -o_orderkey, 0, 1, false FROM orders WHERE o_orderkey % 1511 = 0 AND o_orderkey > 0
+) WHERE edited OR source_rows <> target_rows""",
     "guarded_load": with_(INV, f"""
 SELECT count(*) AS n_rows, {r("sum(total + 1)")} AS total, CAST(sum(is_paid) AS BIGINT) AS n_paid,
   CAST(1 AS INTEGER) AS n_refusals FROM inv"""),

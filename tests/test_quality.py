@@ -147,3 +147,20 @@ def test_old_versions_go(spark, tmp_path):
         assert spark.table(name).count() == n
     assert len(list((tmp_path / "versions" / name).glob("v-*"))) == 2
     spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 4096])
+def test_differing_keys_equal_a_plain_comparison(spark, buckets):
+    source = [(None, "n", 1.0), (1, "a", 1.0), (1, "a", 1.0), (2, "b", None), (3, "c", 2.0), (4, "d", 1.0), (5, "e", 7.0)]
+    target = [(None, "n", 2.0), (1, "a", 1.0), (2, None, None), (3, "c", 2.0), (5, "e", 7.0), (6, "f", 0.0), (6, "f", 0.0)]
+    kinds = "k int, t string, `a.b` double"
+    left, right = spark.createDataFrame(source, kinds), spark.createDataFrame(target, kinds).select("a.b".join("``"), "t", "k")
+    found = quality.differing_keys(left, right, ["k"], buckets).collect()
+    assert sorted(map(tuple, found), key=str) == sorted([
+        (None, 1, 1, "content differs"), (1, 2, 1, "row count differs"), (2, 1, 1, "content differs"),
+        (4, 1, 0, "missing in target"), (6, 0, 2, "missing in source"),
+    ], key=str)
+    assert quality.differing_keys(left, left, ["k"], buckets).count() == 0
+    assert quality.differing_keys(left.limit(0), left.limit(0), ["k"], buckets).count() == 0
+    with pytest.raises(ValueError):
+        quality.differing_keys(left, right.drop("t"), ["k"])
