@@ -33,6 +33,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a table of ``fresh_path`` that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written table of its own."""
     path = fresh_path(df.sparkSession, name)
