@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from arrears import contracts as K
 from arrears.functions import bands, dates, formats, numeric, text
 from arrears.operators import (
-    classifier, cleaning, evaluation, forecast, quality, reports, sampling, scoring, series, tfidf,
+    classifier, cleaning, evaluation, forecast, keyword_rules, quality, reports, sampling, scoring, series, tfidf,
 )
 from arrears.sources import invoice_export as exports, order_tables as feed, staging, tables
 
@@ -267,6 +267,17 @@ def invoice_categories(spark, sf_dir):
     )
 
 
+@query
+def documents_by_rule_table(spark, sf_dir):
+    """The first benchmark item whose opening words a document holds: as many rules as there are items."""
+    rules = feed.table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("priority"), F.col("item_id").cast("string").alias("category"),
+        F.upper(F.left("text", F.lit(24))).alias("keyword"),
+    )
+    found = keyword_rules.categories_by_rules(_documents(spark, sf_dir).select("doc_id", "text"), "text", rules)
+    return found.select("doc_id", "category")
+
+
 @query
 def report_formats(spark, sf_dir):
     rows = feed.invoices(spark, sf_dir)
@@ -941,6 +952,19 @@ def invoices_to_review(spark, sf_dir):
     return classifier.review_list(_predictions(spark, sf_dir))
 
 
+@query
+def classified_by_table_solver(spark, sf_dir):
+    """Invoices by the model whose coefficients never leave their table."""
+    slug = hashlib.md5(sf_dir.encode()).hexdigest()
+    path = f"{staging.shared_folder(spark)}/{spark.sparkContext.applicationId}/tables-{slug}"
+    labelled = _labelled_concepts(spark, sf_dir)
+    model = classifier.load_or_train(
+        spark, path, lambda: classifier.train(labelled, "key", "concept", "label", solver="tables", tolerance=1e-4)
+    )
+    rows = cleaning.for_classifier(feed.invoices(spark, sf_dir))
+    return classifier.predict(rows, "invoice_id", "concept", model).drop("best")
+
+
 def _counted_predictions(spark, sf_dir):
     """Predictions of the closed-form model, stored and loaded as a job would."""
     slug = hashlib.md5(sf_dir.encode()).hexdigest()

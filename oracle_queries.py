@@ -383,6 +383,11 @@ FROM inv"""),
     "normalized_documents": f"SELECT doc_id, {NORMAL.format('text')} AS normalized FROM documents",
     "invoice_categories": with_(CAT, f"""
 SELECT invoice_id, category, {case("category", K.CATEGORY_NAMES)} AS category_name FROM cat"""),
+    "documents_by_rule_table": f"""
+SELECT doc_id, coalesce(CAST(min(item_id) FILTER (contains(upper(d.text), b.keyword)) AS VARCHAR), '{K.OTHER}') AS category
+FROM (SELECT doc_id, coalesce(text, 'nan') AS text FROM documents) d
+LEFT JOIN (SELECT item_id, upper(left(text, 24)) AS keyword FROM benchmark) b ON contains(upper(d.text), b.keyword)
+GROUP BY doc_id""",
     "report_formats": with_(INV, f"""
 SELECT invoice_id, strftime(invoice_date, '%d/%m/%Y') AS day,
   strftime(invoice_date, '%Y-%m') AS year_month,

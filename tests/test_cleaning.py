@@ -1,11 +1,12 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from arrears import contracts as K
 from arrears.functions import dates, numeric, text
-from arrears.operators import cleaning
+from arrears.operators import cleaning, keyword_rules
 from arrears.sources import invoice_export
 
 D = dt.date
@@ -202,3 +203,44 @@ def test_filters(spark):
     assert cleaning.equal_if_present(df, "kind", None).count() == 2
     assert cleaning.only_members(df, "client", []).count() == 2
     assert cleaning.only_members(df, "client", ["B"]).count() == 1
+
+
+def test_a_rule_table_equals_the_expression(spark):
+    texts = ["Mantenimiento correctivo", "inst. de equipo", "instalar", "GAS R22", "", None, "fuga", "venta de compresor"] * 3
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, c string")
+    words = [(p, c, w) for p, (c, ws) in enumerate(K.KEYWORD_RULES.items()) for w in ws]
+    rules = spark.createDataFrame(words, "priority int, category string, keyword string")
+    got = {r.id: r.found for r in keyword_rules.categories_by_rules(df, "c", rules, "found").collect()}
+    want = {r.id: r.want for r in df.select("id", text.keyword_category(F.col("c")).alias("want")).collect()}
+    assert got == want and len(set(want.values())) == 5
+
+
+def test_ten_thousand_rules_by_brute_force(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("ABÉ.") for _ in range(rng.randint(1, 12)))
+    rules = [(rng.randint(0, 4000), f"c{i % 7}", word()) for i in range(10_000)] + [(1, "n", None)]
+    # one keyword's runs in very many others, and a text that is one long run
+    rules += [(5000 + i, "z", "AAAAAAAAAAAA" + str(i)) for i in range(300)]
+    texts = [" ".join(word() for _ in range(rng.randint(0, 4))) for _ in range(150)] + ["A" * 5000 + "299", "q😀r", "", None]
+    rules += [(9000, "smile", "😀R")]
+    rule_table = spark.createDataFrame(rules, "priority int, category string, keyword string")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, c string")
+    found = keyword_rules.categories_by_rules(df, "c", rule_table)
+    got = {r.id: r.category for r in found.collect()}
+    for i, t in enumerate(texts):
+        upper = (t if t is not None else "nan").upper()
+        best = min(((p, c) for p, c, k in rules if k is not None and k in upper), default=(0, K.OTHER))
+        assert got[i] == best[1], t
+    # a plan does not grow with the rules
+    few = keyword_rules.categories_by_rules(df, "c", rule_table.limit(5))
+    assert len(found._jdf.queryExecution().analyzed().toString()) < 1.1 * len(few._jdf.queryExecution().analyzed().toString())
+
+
+def test_empty_keywords_and_empty_tables_of_rules(spark):
+    df = spark.createDataFrame([(1, "uno"), (2, None)], "id int, c string")
+    none = spark.createDataFrame([], "priority int, category string, keyword string")
+    every = spark.createDataFrame([(2, "all", ""), (1, "one", "UNO"), (3, "late", "NAN")], none.schema)
+    assert {r.category for r in keyword_rules.categories_by_rules(df, "c", none).collect()} == {K.OTHER}
+    got = {r.id: r.category for r in keyword_rules.categories_by_rules(df, "c", every).collect()}
+    assert got == {1: "one", 2: "all"}
+    assert keyword_rules.categories_by_rules(df.limit(0), "c", every).columns == ["id", "c", "category"]

@@ -16,7 +16,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 ROWS_ONLY = {
     "forecast_fits", "cash_forecast", "cash_forecast_by_client", "cash_forecast_total",
     "classified_invoices", "prediction_summary", "invoices_to_review",
-    "concept_cross_validation", "concept_holdout_report", "language_holdout_report",
+    "classified_by_table_solver", "concept_cross_validation", "concept_holdout_report", "language_holdout_report",
 }
 
 
