@@ -14,15 +14,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from arrears.sources import staging
 
+#: Bytes of splits that one task reads one after the other.
+_TASK_BYTES = 16 << 20
+
+
+def in_tasks(scan: DataFrame) -> DataFrame:
+    """A plain scan whose small splits share tasks; the splits stay as they are.
+
+    A task and a shuffled block per partition for each split of some KB would
+    cost more than its lines; splits of ``_TASK_BYTES`` or more pass as they are.
+    """
+    spark = scan.sparkSession
+    size = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if size >= _TASK_BYTES:
+        return scan
+    splits = scan._jdf.rdd().getNumPartitions()
+    tasks = max(spark.sparkContext.defaultParallelism, -(-splits * size // _TASK_BYTES))
+    return scan if tasks >= splits else scan.coalesce(tasks)
+
 
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``value, file, start, order``: lines, the start of their split, their order within it."""
-    return spark.read.option("lineSep", "\n").text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("order"),
+    scan = spark.read.option("lineSep", "\n").text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     )
+    # a task reads a split from its first line to its last, whatever other splits it reads
+    return in_tasks(scan).withColumn("order", F.monotonically_increasing_id())
 
 
 def odd_quotes() -> Column:
@@ -57,7 +74,7 @@ def stitched(found: DataFrame) -> DataFrame:
     )
     path = staging.fresh_path(spark, "records")
     made.write.parquet(path)
-    pieces = spark.read.parquet(path)
+    pieces = in_tasks(spark.read.parquet(path))
 
     # one row per split: its last record, and so the owner of what the next splits begin with
     last = pieces.groupBy("file", "start").agg(F.max("number").alias("number"))

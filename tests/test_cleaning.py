@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from arrears import contracts as K
 from arrears.functions import dates, numeric, text
 from arrears.operators import cleaning, keyword_rules
-from arrears.sources import invoice_export
+from arrears.sources import invoice_export, quoted_records
 
 D = dt.date
 
@@ -244,3 +244,18 @@ def test_empty_keywords_and_empty_tables_of_rules(spark):
     got = {r.id: r.category for r in keyword_rules.categories_by_rules(df, "c", every).collect()}
     assert got == {1: "one", 2: "all"}
     assert keyword_rules.categories_by_rules(df.limit(0), "c", every).columns == ["id", "c", "category"]
+
+
+def test_small_splits_share_tasks_and_stay_apart(spark, tmp_path):
+    records = [f'{i},"a\nb ""{i}"" ' + "x" * (i % 90) + '\n\nc"' if i % 3 == 0 else f"{i},plain" for i in range(800)]
+    (tmp_path / "one.csv").write_text("\n".join(records[:500]) + "\n")
+    (tmp_path / "two.csv").write_text("\n".join(records[500:]) + "\n")
+    with quoted_records.splits_of(spark, 256):
+        found = quoted_records.lines(spark, str(tmp_path))
+        tasks = found._jdf.rdd().getNumPartitions()
+        assert tasks <= max(spark.sparkContext.defaultParallelism, 2)
+        assert found.select("file", "start").distinct().count() > 4 * tasks
+        got = quoted_records.stitched(found).orderBy("file", "start", "number").collect()
+    assert [r.record for r in got] == records
+    whole = quoted_records.lines(spark, str(tmp_path))
+    assert whole.select("file", "start").distinct().count() == 2
