@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -148,17 +149,101 @@ def _solved(candidate: Column, s: Column) -> Column:
     return F.get(F.transform(F.array(F.struct(level.alias("l"), trend.alias("b"))), finished), F.lit(0))
 
 
+#: months up to which candidates of the fold are screened; longer series try every one in full
+SCREENED = 120
+#: share of the sum of squared amounts that a screened error may be off: its rounding stays 1,000 times below
+_SLACK = 1e-9
+#: normal equations with a determinant below this share of its product are not screened
+_CROOKED = 1e-4
+
+
+def _screening_steps(candidate: tuple[float, float, float]) -> list[tuple[float | None, float | None, float | None]]:
+    """``p, q, w`` per month: its error is ``d + p e[-1] + q e[-2]``, ``w`` weighs the error of the month before.
+
+    Recursive least squares of the initial states: the first two months settle
+    them, and each later one is forecast from all before it.  The squares of
+    the weighted errors add up to the least sum of squares.  ``d`` is the
+    amount less (1 + phi) times the month before plus phi times the one before
+    that.  All three depend on the candidate and the place of the month, not on
+    the series.
+    """
+    alpha, beta, phi = candidate
+    carry = alpha * beta
+    fu, gu, fv, gv, uu, uv, vv = 1.0, 0.0, phi, phi, 0.0, 0.0, 0.0
+    # factors of the last and the last but one error in the next one; the last one's weight
+    near, far, next_far, weight = 0.0, 0.0, 0.0, 0.0
+    steps = []
+    for t in range(SCREENED):
+        steps.append((near if t > 2 else 0.0, far if t > 3 else 0.0, weight))
+        uu, uv, vv = uu + fu * fu, uv + fu * fv, vv + fv * fv
+        if t > 0:
+            det = uu * vv - uv * uv
+            if not det > _CROOKED * uu * vv:
+                return steps[:2] + [(None, None, None)] * (SCREENED - 1)  # errors of NULL: nothing is screened
+            by_level, by_trend = (fu * vv - fv * uv) / det, (fv * uu - fu * uv) / det
+            own = fu * by_level + fv * by_trend
+            weight = (1 - own) ** 0.5 if t > 1 else 0.0
+            level, trend = own + alpha * (1 - own), phi * (gu * by_level + gv * by_trend + carry * (1 - own))
+            near, far, next_far = 1 + phi - level - trend, next_far, phi * (level - 1)
+        gu, gv = phi * (gu - carry * fu), phi * (gv - carry * fv)
+        fu, fv = fu - alpha * fu + gu, fv - alpha * fv + gv
+    return steps + [(0.0, 0.0, weight)]
+
+
+def _screened_errors(candidates: list[tuple[float, float, float]]) -> str:
+    """SQL text of the least sums of squares of candidates that share phi, up to rounding.
+
+    One fold for all of them: a struct for each month and candidate would cost
+    several times the arithmetic.
+    """
+    phi = candidates[0][2]
+    rows = [dict(zip("pqw", zip(*step))) for step in zip(*map(_screening_steps, candidates))]
+    none = f"array_repeat(0D, {len(candidates)})"
+    differences = (
+        "transform(amounts, (y, i) -> IF(i < 2, 0D,"
+        f" y - {1 + phi!r}D * get(amounts, i - 1) + {phi!r}D * get(amounts, i - 2)))"
+    )
+    # one step more than months: it adds the last month's error
+    return f"""aggregate(
+        arrays_zip(
+            concat({differences}, array(0D)),
+            slice(from_json('{json.dumps(rows)}', 'array<struct<p: array<double>, q: array<double>, w: array<double>>>'),
+                  1, size(amounts) + 1)),
+        named_struct('e', {none}, 'f', {none}, 'r', {none}),
+        (s, x) -> named_struct(
+            'e', zip_with(
+                zip_with(x.`1`.p, s.e, (p, e) -> p * e),
+                zip_with(x.`1`.q, s.f, (q, f) -> q * f), (near, far) -> x.`0` + near + far),
+            'f', s.e,
+            'r', zip_with(s.r, zip_with(x.`1`.w, s.e, (w, e) -> w * e), (r, e) -> hypot(r, e))),
+        s -> transform(s.r, r -> r * r))"""
+
+
+def _screened(arrays: DataFrame, grid: list[tuple[float, float, float]]) -> DataFrame:
+    """``arrays`` with the screened errors of a grid in order of phi, and the most that a winner can have."""
+    errors = F.expr("concat(%s)" % ", ".join(
+        _screened_errors([c for c in grid if c[2] == phi]) for phi in dict.fromkeys(c[2] for c in grid)
+    ))
+    squares = F.aggregate("amounts", F.lit(0.0), lambda s, y: s + y * y)
+    return arrays.select(
+        "series_key", "last_month", "amounts", F.when(F.size("amounts") <= SCREENED, errors).alias("_errors")
+    ).withColumn("_most", F.array_min("_errors") + F.lit(_SLACK) * squares)
+
+
 def fit_by_fold(
     arrays: DataFrame, grid: tuple[tuple[float, float, float], ...] = smoothing.FOLD_GRID
 ) -> DataFrame:
     """Non-seasonal fits by a fold over each month array, with built-in expressions only.
 
-    Every candidate (alpha, beta, phi) passes over the months once, carrying
+    Every candidate (alpha, beta, phi) passes over the months, carrying
     level, trend and the sums of the least-squares problem of its initial
     states; the least sum of squares wins, ties go to the smaller parameters.
+    A shorter pass first finds each candidate's sum of squares up to rounding:
+    only those that this leaves as possible winners take the full one.
     No Python worker and no shuffle.  Columns as :func:`fit_arrays`; arrays of
     three months at least, without NULLs.
     """
+    grid = sorted(grid, key=lambda c: c[2])
     candidates = F.expr("array(%s)" % ", ".join(
         f"named_struct('alpha', {a!r}D, 'beta', {b!r}D, 'phi', {p!r}D)" for a, b, p in grid
     ))
@@ -167,12 +252,15 @@ def fit_by_fold(
         states = F.array(_fold(F.col("amounts"), c))
         return F.get(F.transform(states, lambda s: _solved(c, s)), F.lit(0))
 
+    def possible(c: Column, k: Column) -> Column:
+        return ~F.coalesce(F.get(F.col("_errors"), k) > F.col("_most"), F.lit(False))
+
     n = F.size("amounts")
     n_params = F.lit(3 + 2)
     sse = F.col("fit.sse")
     # a fold for each candidate is dear: the winner must not be computed again for each of its fields
-    winner = F.array(F.array_min(F.transform(candidates, tried)))
-    return arrays.select(
+    winner = F.array(F.array_min(F.transform(F.filter(candidates, possible), tried)))
+    return _screened(arrays, grid).select(
         "series_key", "last_month", n.alias("n_months"), F.explode(winner).alias("fit")
     ).select(
         "series_key", "last_month", "n_months", n_params.alias("n_params"),

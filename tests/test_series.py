@@ -205,3 +205,37 @@ def test_fold_finds_the_least_squares_of_its_grid(spark):
         assert (r.level, r.trend) == pytest.approx(own[1:3], rel=1e-5, abs=1e-6 * scale**0.5)
         assert r.n_params == 5 and r.season is None
         assert (r.aic is None) == (r.sse == 0)
+
+
+def test_fold_screens_its_grid_and_tries_only_possible_winners_in_full(spark):
+    rng = np.random.default_rng(11)
+    rows = [(f"k{i}", dt.date(2025, 1, 1), [float(x) for x in 900 + 9 * np.arange(n) + rng.normal(0, 70, n)])
+            for i, n in enumerate([3, 4, 5, 17, 64, forecast.SCREENED, forecast.SCREENED + 1])]
+    df = spark.createDataFrame(rows, "series_key string, last_month date, amounts array<double>")
+    grid = sorted(smoothing.FOLD_GRID, key=lambda c: c[2])
+    got = {r.series_key: r for r in forecast._screened(df, grid).collect()}
+    for key, _, amounts in rows:
+        y = np.array(amounts)
+        if len(y) > forecast.SCREENED:
+            assert got[key]._errors is None and got[key]._most is None
+            continue
+        for (a, b, p), screened in zip(grid, got[key]._errors, strict=True):
+            params = [np.float64(v) for v in (a, b, 0.0, p)]
+            effects = [smoothing.errors(0 * y, params, l, t, [])[0] for l, t in ((1.0, 0.0), (0.0, 1.0))]
+            error = smoothing.errors(y, params, 0.0, 0.0, [])[0]
+            start, *_ = np.linalg.lstsq(-np.stack(effects, axis=1), error, rcond=None)
+            sse = float((smoothing.errors(y, params, start[0], start[1], [])[0] ** 2).sum())
+            assert abs(screened - sse) <= 1e-12 * float((y**2).sum())
+        assert sum(e <= got[key]._most for e in got[key]._errors) == 1
+
+
+def test_fold_keeps_its_winners_with_and_without_screening(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    rows = [(f"k{i}", dt.date(2025, 1, 1), [float(x) for x in rng.gamma(0.5, 800, n).round(2)]) for i, n in enumerate([*range(3, 40), 130])]
+    rows += [("zero", dt.date(2025, 1, 1), [0.0] * 9), ("line", dt.date(2025, 1, 1), [5.0 * k for k in range(30)]),
+             ("lost", dt.date(2025, 1, 1), [1.0, math.nan, 2.0, 4.0]), ("far", dt.date(2025, 1, 1), [1.0, math.inf, 2.0, 4.0])]
+    df = spark.createDataFrame(rows, "series_key string, last_month date, amounts array<double>")
+    screened = sorted(map(str, forecast.fit_by_fold(df).collect()))
+    monkeypatch.setattr(forecast, "SCREENED", 2)
+    assert screened == sorted(map(str, forecast.fit_by_fold(df).collect()))
+    assert len(screened) == len(rows)
