@@ -25,16 +25,20 @@ _FIT_TYPE = T.StructType(
 
 @F.pandas_udf(_FIT_TYPE)
 def _fit(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Arrow batches of month arrays; series of one length are fitted together."""
-    names = _FIT_FIELDS
+    """Arrow batches of month arrays; series with a season are fitted together, and so are those without."""
     for batch in batches:
         lengths = batch.map(len).to_numpy()
-        out = pd.DataFrame(index=range(len(batch)), columns=names, dtype=float)
+        out = pd.DataFrame(index=range(len(batch)), columns=_FIT_FIELDS, dtype=float)
         season = [None] * len(batch)
-        for n in np.unique(lengths):
-            where = np.flatnonzero(lengths == n)
-            found = smoothing.fit(np.stack(batch.iloc[where].to_list()).astype(float))
-            for name in names:
+        for seasonal in (False, True):
+            where = np.flatnonzero((lengths >= K.SEASONAL_FROM) == seasonal)
+            if not len(where):
+                continue
+            padded = np.zeros((len(where), lengths[where].max()))
+            for row, amounts in zip(padded, batch.iloc[where]):
+                row[: len(amounts)] = amounts
+            found = smoothing.fit_padded(padded, lengths[where], seasonal)
+            for name in _FIT_FIELDS:
                 out.loc[where, name] = found[name]
             for row, values in zip(where, found["season"]):
                 season[row] = values

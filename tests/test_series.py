@@ -239,3 +239,32 @@ def test_fold_keeps_its_winners_with_and_without_screening(spark, monkeypatch):
     monkeypatch.setattr(forecast, "SCREENED", 2)
     assert screened == sorted(map(str, forecast.fit_by_fold(df).collect()))
     assert len(screened) == len(rows)
+
+
+@pytest.mark.parametrize("seasonal", [False, True])
+def test_series_of_many_lengths_are_fitted_together_as_each_alone(seasonal):
+    rng = np.random.default_rng(21)
+    months = rng.permutation([3, 4, 7, 7, 23] if not seasonal else [24, 25, 36, 36, 61, 80])
+    padded = np.zeros((len(months), months.max()))
+    for row, n in zip(padded, months):
+        row[:n] = 300 + np.cumsum(rng.normal(0, 9, n)) + 20 * np.sin(np.arange(n) * np.pi / 6)
+    together = smoothing.fit_padded(padded, months, seasonal)
+    for k, n in enumerate(months):
+        alone = smoothing.fit(padded[k : k + 1, :n])
+        assert together["sse"][k] == pytest.approx(alone["sse"][0], rel=1e-6, abs=1e-6)
+        for h in range(1, 4):
+            ahead = [f["level"][i] + sum(f["phi"][i] ** np.arange(1, h + 1)) * f["trend"][i] + (f["season"][i][h - 1] if seasonal else 0)
+                     for f, i in ((together, k), (alone, 0))]
+            assert ahead[0] == pytest.approx(ahead[1], rel=1e-3)
+
+
+def test_a_batch_of_many_lengths_takes_few_descents(monkeypatch):
+    """As many as blocks of series, not as many as lengths."""
+    import pandas as pd
+    calls, descend = [], smoothing.descend
+    monkeypatch.setattr(smoothing, "descend", lambda *a, **k: calls.append(1) or descend(*a, **k))
+    rng = np.random.default_rng(22)
+    batch = pd.Series([list(rng.gamma(0.5, 800, n)) for n in range(3, 43)])
+    (out,) = forecast._fit.func(iter([batch]))
+    assert len(calls) == 4 and len(out) == 40 and out["sse"].notna().all()
+    assert [len(s) for s in out["season"]] == [0] * 21 + [12] * 19
