@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from arrears import contracts as K, deploy
@@ -223,19 +224,54 @@ def _screened_errors(candidates: list[tuple[float, float, float]]) -> str:
         s -> transform(s.r, r -> r * r))"""
 
 
-def _screened(arrays: DataFrame, grid: list[tuple[float, float, float]]) -> DataFrame:
+def _batch_errors(grid: list[tuple[float, float, float]]) -> Callable[[Column], Column]:
+    """The screened errors of a grid in order of phi, for Arrow batches of month arrays.
+
+    Errors that are no finite number, and those of series over ``SCREENED``
+    months, are NULL: such candidates are tried in full.
+    """
+    steps = {
+        phi: np.array([_screening_steps(c) for c in grid if c[2] == phi], dtype=float).transpose(1, 2, 0)
+        for phi in dict.fromkeys(c[2] for c in grid)
+    }
+    longest = SCREENED
+
+    @F.arrow_udf("array<double>")
+    def errors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            lengths = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            amounts = batch.flatten().to_numpy(zero_copy_only=False)
+            short = lengths <= longest
+            amounts = amounts[np.repeat(short, lengths)]
+            found = np.full((len(lengths), len(grid)), np.nan)
+            found[short] = np.concatenate(
+                [smoothing.screened_errors(amounts, lengths[short], phi, s) for phi, s in steps.items()], axis=1
+            )
+            values = pa.array(found.ravel(), mask=~np.isfinite(found).ravel())
+            yield pa.ListArray.from_arrays(np.arange(len(lengths) + 1, dtype=np.int32) * len(grid), values)
+
+    # as for the fits: never run once per column that reads the result
+    return errors.asNondeterministic()
+
+
+def _screened(arrays: DataFrame, grid: list[tuple[float, float, float]], in_batches: bool = False) -> DataFrame:
     """``arrays`` with the screened errors of a grid in order of phi, and the most that a winner can have."""
-    errors = F.expr("concat(%s)" % ", ".join(
-        _screened_errors([c for c in grid if c[2] == phi]) for phi in dict.fromkeys(c[2] for c in grid)
-    ))
+    if in_batches:
+        deploy.ship(arrays.sparkSession)
+        errors = _batch_errors(grid)(F.col("amounts").cast("array<double>"))
+    else:
+        errors = F.expr("concat(%s)" % ", ".join(
+            _screened_errors([c for c in grid if c[2] == phi]) for phi in dict.fromkeys(c[2] for c in grid)
+        ))
+        errors = F.when(F.size("amounts") <= SCREENED, errors)
     squares = F.aggregate("amounts", F.lit(0.0), lambda s, y: s + y * y)
-    return arrays.select(
-        "series_key", "last_month", "amounts", F.when(F.size("amounts") <= SCREENED, errors).alias("_errors")
-    ).withColumn("_most", F.array_min("_errors") + F.lit(_SLACK) * squares)
+    return arrays.select("series_key", "last_month", "amounts", errors.alias("_errors")).withColumn(
+        "_most", F.array_min("_errors") + F.lit(_SLACK) * squares
+    )
 
 
 def fit_by_fold(
-    arrays: DataFrame, grid: tuple[tuple[float, float, float], ...] = smoothing.FOLD_GRID
+    arrays: DataFrame, grid: tuple[tuple[float, float, float], ...] = smoothing.FOLD_GRID, in_batches: bool = False
 ) -> DataFrame:
     """Non-seasonal fits by a fold over each month array, with built-in expressions only.
 
@@ -244,8 +280,10 @@ def fit_by_fold(
     states; the least sum of squares wins, ties go to the smaller parameters.
     A shorter pass first finds each candidate's sum of squares up to rounding:
     only those that this leaves as possible winners take the full one.
-    No Python worker and no shuffle.  Columns as :func:`fit_arrays`; arrays of
-    three months at least, without NULLs.
+    No Python worker and no shuffle.  ``in_batches`` runs the shorter pass, and
+    only that, over Arrow batches in Python workers, for many series: Spark
+    interprets its lambdas.  The fits are the same bit by bit.  Columns as
+    :func:`fit_arrays`; arrays of three months at least, without NULLs.
     """
     grid = sorted(grid, key=lambda c: c[2])
     candidates = F.expr("array(%s)" % ", ".join(
@@ -264,7 +302,7 @@ def fit_by_fold(
     sse = F.col("fit.sse")
     # a fold for each candidate is dear: the winner must not be computed again for each of its fields
     winner = F.array(F.array_min(F.transform(F.filter(candidates, possible), tried)))
-    return _screened(arrays, grid).select(
+    return _screened(arrays, grid, in_batches).select(
         "series_key", "last_month", n.alias("n_months"), F.explode(winner).alias("fit")
     ).select(
         "series_key", "last_month", "n_months", n_params.alias("n_params"),
@@ -353,11 +391,11 @@ def forecast(monthly: DataFrame, n_partitions: int | None = None, seasonal: bool
     """Every key: smoothing from three months on, the weighted-mean projection below.
 
     ``method`` says which of the two.  ``seasonal=False`` fits by a fold inside
-    the JVM (:func:`fit_by_fold`), without a yearly season.
+    the JVM (:func:`fit_by_fold`, screened in batches), without a yearly season.
     """
     arrays = spread_arrays(monthly, n_partitions)
-    fit = fit_arrays if seasonal else fit_by_fold
-    long = bands(fit(arrays.where(F.size("amounts") >= SHORTEST)))
+    long = arrays.where(F.size("amounts") >= SHORTEST)
+    long = bands(fit_arrays(long) if seasonal else fit_by_fold(long, in_batches=True))
     short = short_series(arrays.where(F.size("amounts") < SHORTEST))
     return long.withColumn("method", F.lit("smoothing")).unionByName(
         short.withColumn("method", F.lit("weighted mean"))

@@ -841,7 +841,7 @@ def _cents_by_client(spark, sf_dir):
 def folded_fits(spark, sf_dir):
     """Non-seasonal smoothing per client by a fold over its months."""
     arrays = forecast.spread_arrays(_cents_by_client(spark, sf_dir))
-    out = forecast.fit_by_fold(arrays.where(F.size("amounts") >= forecast.SHORTEST))
+    out = forecast.fit_by_fold(arrays.where(F.size("amounts") >= forecast.SHORTEST), in_batches=True)
     out = out.select("series_key", "last_month", "n_months", "alpha", "beta", "phi", "level", "trend", "sse", "aic")
     return rounded(rounded(rounded(out, 2, "level", "trend"), 0, "sse"), 4, "aic")
 

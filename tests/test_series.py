@@ -241,6 +241,41 @@ def test_fold_keeps_its_winners_with_and_without_screening(spark, monkeypatch):
     assert len(screened) == len(rows)
 
 
+def test_fold_screened_in_batches_has_the_same_fits(spark):
+    rng = np.random.default_rng(13)
+    lengths = [*rng.permutation(np.repeat(np.arange(3, 43), 20)), forecast.SCREENED, forecast.SCREENED + 1, 3]
+    rows = [(f"k{i}", dt.date(2025, 1, 1), [float(x) for x in rng.gamma(0.5, 800, n).round(2)]) for i, n in enumerate(lengths)]
+    odd = {"zero": [0.0] * 9, "line": [5.0 * k for k in range(30)], "huge": [1e200, 3e200, 2e200, 1e200, 5.0],
+           "lost": [1.0, math.nan, 2.0, 4.0], "far": [1.0, math.inf, 2.0, 4.0], "gone": [-math.inf, math.inf, 0.0]}
+    rows += [(key, dt.date(2025, 1, 1), amounts) for key, amounts in odd.items()]
+    df = spark.createDataFrame(rows, "series_key string, last_month date, amounts array<double>").repartition(2)
+    grid = sorted(smoothing.FOLD_GRID, key=lambda c: c[2])
+    folded = {r.series_key: r for r in forecast._screened(df, grid).collect()}
+    batched = {r.series_key: r for r in forecast._screened(df, grid, in_batches=True).collect()}
+    assert set(batched) == {k for k, *_ in rows}
+    for key, _, amounts in rows:
+        if len(amounts) > forecast.SCREENED:
+            assert batched[key]._errors is None or set(batched[key]._errors) == {None}
+            assert batched[key]._most is None
+        elif key in ("huge", "lost", "far", "gone"):
+            assert all(e is None or not e > batched[key]._most for e in batched[key]._errors)
+        else:
+            apart = np.array(folded[key]._errors) - np.array(batched[key]._errors)
+            assert np.abs(apart).max() <= 1e-12 * sum(y * y for y in amounts)
+    fits = forecast.fit_by_fold(df, in_batches=True)
+    plan = fits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted(map(str, fits.collect())) == sorted(map(str, forecast.fit_by_fold(df).collect()))
+
+
+def test_forecast_without_season_leaves_no_screening_to_interpreted_lambdas(spark):
+    points = [("a", 2025, m, 10 * m) for m in range(1, 9)] + [("b", 2025, 1, 4)]
+    out = forecast.forecast(monthly(spark, points), seasonal=False)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hypot" not in plan.lower() and "ArrowEvalPython" in plan
+    assert {(r.series_key, r.method) for r in out.collect()} == {("a", "smoothing"), ("b", "weighted mean")}
+
+
 @pytest.mark.parametrize("seasonal", [False, True])
 def test_series_of_many_lengths_are_fitted_together_as_each_alone(seasonal):
     rng = np.random.default_rng(21)
