@@ -224,11 +224,22 @@ def _screened_errors(candidates: list[tuple[float, float, float]]) -> str:
         s -> transform(s.r, r -> r * r))"""
 
 
-def _batch_errors(grid: list[tuple[float, float, float]]) -> Callable[[Column], Column]:
-    """The screened errors of a grid in order of phi, for Arrow batches of month arrays.
+def _screened(arrays: DataFrame, grid: list[tuple[float, float, float]]) -> DataFrame:
+    """``arrays`` with the screened errors of a grid in order of phi, and the most that a winner can have."""
+    errors = F.expr("concat(%s)" % ", ".join(
+        _screened_errors([c for c in grid if c[2] == phi]) for phi in dict.fromkeys(c[2] for c in grid)
+    ))
+    squares = F.aggregate("amounts", F.lit(0.0), lambda s, y: s + y * y)
+    return arrays.select(
+        "series_key", "last_month", "amounts", F.when(F.size("amounts") <= SCREENED, errors).alias("_errors")
+    ).withColumn("_most", F.array_min("_errors") + F.lit(_SLACK) * squares)
+
 
-    Errors that are no finite number, and those of series over ``SCREENED``
-    months, are NULL: such candidates are tried in full.
+def _screened_in_batches(grid: list[tuple[float, float, float]]) -> Callable[[Column], Column]:
+    """The numbers of a grid's possible winners, in order of phi, over Arrow batches of month arrays.
+
+    All candidates are possible in series over ``SCREENED`` months, and those
+    whose error is no finite number.
     """
     steps = {
         phi: np.array([_screening_steps(c) for c in grid if c[2] == phi], dtype=float).transpose(1, 2, 0)
@@ -236,38 +247,28 @@ def _batch_errors(grid: list[tuple[float, float, float]]) -> Callable[[Column],
     }
     longest = SCREENED
 
-    @F.arrow_udf("array<double>")
-    def errors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("array<int>")
+    def possible(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             lengths = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             amounts = batch.flatten().to_numpy(zero_copy_only=False)
             short = lengths <= longest
-            amounts = amounts[np.repeat(short, lengths)]
-            found = np.full((len(lengths), len(grid)), np.nan)
-            found[short] = np.concatenate(
-                [smoothing.screened_errors(amounts, lengths[short], phi, s) for phi, s in steps.items()], axis=1
+            kept = np.ones((len(lengths), len(grid)), dtype=bool)
+            amounts, months = amounts[np.repeat(short, lengths)], lengths[short]
+            errors = np.concatenate(
+                [smoothing.screened_errors(amounts, months, phi, s) for phi, s in steps.items()], axis=1
             )
-            values = pa.array(found.ravel(), mask=~np.isfinite(found).ravel())
-            yield pa.ListArray.from_arrays(np.arange(len(lengths) + 1, dtype=np.int32) * len(grid), values)
+            errors[~np.isfinite(errors)] = np.nan
+            with np.errstate(over="ignore"):
+                squares = np.bincount(np.repeat(np.arange(len(months)), months), amounts * amounts, len(months))
+            most = np.fmin.reduce(errors, axis=1) + _SLACK * squares
+            kept[short] = ~(errors > most[:, None])
+            ends = np.concatenate([[0], np.cumsum(kept.sum(axis=1))])
+            numbers = np.nonzero(kept)[1]
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers, pa.int32()))
 
     # as for the fits: never run once per column that reads the result
-    return errors.asNondeterministic()
-
-
-def _screened(arrays: DataFrame, grid: list[tuple[float, float, float]], in_batches: bool = False) -> DataFrame:
-    """``arrays`` with the screened errors of a grid in order of phi, and the most that a winner can have."""
-    if in_batches:
-        deploy.ship(arrays.sparkSession)
-        errors = _batch_errors(grid)(F.col("amounts").cast("array<double>"))
-    else:
-        errors = F.expr("concat(%s)" % ", ".join(
-            _screened_errors([c for c in grid if c[2] == phi]) for phi in dict.fromkeys(c[2] for c in grid)
-        ))
-        errors = F.when(F.size("amounts") <= SCREENED, errors)
-    squares = F.aggregate("amounts", F.lit(0.0), lambda s, y: s + y * y)
-    return arrays.select("series_key", "last_month", "amounts", errors.alias("_errors")).withColumn(
-        "_most", F.array_min("_errors") + F.lit(_SLACK) * squares
-    )
+    return possible.asNondeterministic()
 
 
 def fit_by_fold(
@@ -297,12 +298,19 @@ def fit_by_fold(
     def possible(c: Column, k: Column) -> Column:
         return ~F.coalesce(F.get(F.col("_errors"), k) > F.col("_most"), F.lit(False))
 
+    if in_batches:
+        deploy.ship(arrays.sparkSession)
+        amounts = F.col("amounts").cast("array<double>")
+        screened = arrays.withColumn("_possible", _screened_in_batches(grid)(amounts))
+        left = F.transform("_possible", lambda k: F.get(candidates, k))
+    else:
+        screened, left = _screened(arrays, grid), F.filter(candidates, possible)
     n = F.size("amounts")
     n_params = F.lit(3 + 2)
     sse = F.col("fit.sse")
     # a fold for each candidate is dear: the winner must not be computed again for each of its fields
-    winner = F.array(F.array_min(F.transform(F.filter(candidates, possible), tried)))
-    return _screened(arrays, grid, in_batches).select(
+    winner = F.array(F.array_min(F.transform(left, tried)))
+    return screened.select(
         "series_key", "last_month", n.alias("n_months"), F.explode(winner).alias("fit")
     ).select(
         "series_key", "last_month", "n_months", n_params.alias("n_params"),

@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from arrears.functions import smoothing
 from arrears.operators import forecast, reports, series
@@ -251,17 +252,19 @@ def test_fold_screened_in_batches_has_the_same_fits(spark):
     df = spark.createDataFrame(rows, "series_key string, last_month date, amounts array<double>").repartition(2)
     grid = sorted(smoothing.FOLD_GRID, key=lambda c: c[2])
     folded = {r.series_key: r for r in forecast._screened(df, grid).collect()}
-    batched = {r.series_key: r for r in forecast._screened(df, grid, in_batches=True).collect()}
-    assert set(batched) == {k for k, *_ in rows}
-    for key, _, amounts in rows:
-        if len(amounts) > forecast.SCREENED:
-            assert batched[key]._errors is None or set(batched[key]._errors) == {None}
-            assert batched[key]._most is None
-        elif key in ("huge", "lost", "far", "gone"):
-            assert all(e is None or not e > batched[key]._most for e in batched[key]._errors)
+    possible = df.select("series_key", forecast._screened_in_batches(grid)(F.col("amounts")).alias("k")).collect()
+    assert {r.series_key for r in possible} == {k for k, *_ in rows} and len(possible) == len(rows)
+    for key, numbers in possible:
+        if key in ("huge", "lost", "far", "gone") or folded[key]._errors is None:
+            assert numbers == list(range(len(grid)))
         else:
-            apart = np.array(folded[key]._errors) - np.array(batched[key]._errors)
-            assert np.abs(apart).max() <= 1e-12 * sum(y * y for y in amounts)
+            assert numbers == [k for k, e in enumerate(folded[key]._errors) if e <= folded[key]._most]
+    phi, steps = 0.8, np.array([forecast._screening_steps(c) for c in grid if c[2] == 0.8], dtype=float).transpose(1, 2, 0)
+    short = [(key, y) for key, _, y in rows if key not in ("huge", "lost", "far", "gone") and len(y) <= forecast.SCREENED]
+    months = np.array([len(y) for _, y in short])
+    batched = smoothing.screened_errors(np.concatenate([y for _, y in short]), months, phi, steps)
+    for (key, y), errors in zip(short, batched, strict=True):
+        assert np.abs(errors - folded[key]._errors[: len(errors)]).max() <= 1e-12 * sum(v * v for v in y)
     fits = forecast.fit_by_fold(df, in_batches=True)
     plan = fits._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
